@@ -28,6 +28,7 @@ from perfmart.plans.reports import (
     REPORTS,
     ReportSpec,
 )
+from perfmart.session import tune
 from perfmart.sources import tables
 from perfmart.sources.raw import read_mart
 
@@ -39,7 +40,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], None]:
     def register(build: Callable[[Tables], DataFrame]) -> None:
-        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(Tables(tune(spark), folder))
         if sql is not None:
             ORACLE[name] = sql
 

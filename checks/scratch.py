@@ -4,21 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
-_SETTING = "spark.checkpoint.dir"
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="perfmart-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder the cluster names.
+    """A new path under the shared folder that ``spark.checkpoint.dir`` names.
 
     Only a local session may lack the setting; it gets a temporary folder.
     """
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"{_SETTING} must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="perfmart-")
-        spark.conf.set(_SETTING, root)
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 MISSING = "None"
 
 # Whole text is an integer part, a point and only digits after it.
-_DECIMAL_TEXT = r"^([ \p{Cntrl}]*[+-]?)([0-9]*)[.][0-9]*([ \p{Cntrl}]*)$"
+_DECIMAL_TEXT = r"^(?<sign>[ \p{Cntrl}]*[+-]?)(?<whole>[0-9]*)[.][0-9]*[ \p{Cntrl}]*$"
 
 
 def _integral(x: Column, type_name: str) -> Column:
     # Digits, signs, the point and blanks all sort below ':'; letters above it.
     maybe_number = (x < ":") & (x != "")
     # The zero keeps '.5' (integer part empty) a number: 0, as the cast has it.
-    truncated = F.regexp_replace(x, _DECIMAL_TEXT, "${1}0$2")
+    truncated = F.regexp_replace(x, _DECIMAL_TEXT, "${sign}0${whole}")
     text = F.when(maybe_number, F.when(F.contains(x, F.lit(".")), truncated).otherwise(x))
     return text.try_cast(type_name)
 

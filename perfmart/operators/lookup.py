@@ -13,6 +13,10 @@ from perfmart.operators.joins import BROADCAST_ROWS, bounded_join
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
+# Stands for text that is no number.  With a key that is never NULL, the inner
+# join adds no null test, which would work out every key a second time per row.
+_NO_LOCATION = -(2**63)
+
 
 def dims_fit(dims: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether all dimensions together are small enough to broadcast (one job)."""
@@ -40,6 +44,7 @@ def lookup_names(
         )
         if isinstance(dim.schema["_key"].dataType, _INTEGRAL):
             dim = dim.withColumn("_key", F.col("_key").cast("bigint"))
-            key = legacy_long(key)
+            dim = dim.where(F.col("_key") != _NO_LOCATION)
+            key = F.coalesce(legacy_long(key), F.lit(_NO_LOCATION))
         df = bounded_join(df.withColumn("_key", key), dim, "_key", "inner", broadcast).drop("_key")
     return df

@@ -83,7 +83,8 @@ def float_text(x: Column) -> Column:
     """A double as the extract prints it: ``10000000.0``, ``1e+16``, ``1.5e-05``, ``nan``.
 
     Spark's own text switches to an exponent from 1.0E7 on, which the bigint cast
-    of the load would read as missing.
+    of the load would read as missing.  The digits are the JVM's; some versions
+    print more of them than the shortest text of the same number has.
     """
     text = x.cast("string")
     size = F.abs(x)
