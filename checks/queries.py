@@ -40,7 +40,7 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], None]:
     def register(build: Callable[[Tables], DataFrame]) -> None:
-        QUERIES[name] = lambda spark, folder: build(Tables(tune(spark), folder))
+        QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
             ORACLE[name] = sql
 
@@ -51,11 +51,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], Dat
 
 
 def daily(spec: ReportSpec, t: Tables) -> DataFrame:
+    tune(t.spark, spec)
     raw, mart = views.raw_batch(t, spec), views.mart_history(t, spec)
     return run_report(raw, mart, spec, RUN_DATE, LOOKBACK, dims=views.dims_of(t, spec))
 
 
 def backfilled(spec: ReportSpec, t: Tables) -> DataFrame:
+    tune(t.spark, spec)
     return backfill_report(views.raw_batch(t, spec), spec, RUN_DATE, views.dims_of(t, spec))
 
 
@@ -77,6 +79,7 @@ SEARCH = REPORTS["search_query"]
 
 @query("typed_projection", oracle.projected(AGE, oracle.raw(AGE, "TRUE")))
 def _(t):
+    tune(t.spark, AGE)
     return project(views.raw_all(t, AGE), AGE, RUN_DATE)
 
 
@@ -273,6 +276,7 @@ def _(t):
 
 
 def _consolidated(slices: dict[str, ReportSpec], t: Tables) -> DataFrame:
+    tune(t.spark, AGE)
     inputs = [views.slice_history(t, s, k) for k, s in enumerate(slices.values())]
     return consolidate(inputs, START, RUN_DATE)
 

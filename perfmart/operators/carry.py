@@ -64,7 +64,7 @@ def carry_forward(
         return window
     if profile.has_null:
         return window.where(F.lit(False))
-    keys = fresh.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = fresh.select(key).distinct()
     known = window.where(F.col(key).isNotNull())
     return bounded_join(
         known, keys, key, "left_anti", broadcast=profile.distinct <= max_broadcast

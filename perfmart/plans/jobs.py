@@ -17,6 +17,7 @@ from perfmart.operators.records import flatten_records, raw_name, source_filter,
 from perfmart.operators.windows import assign_chunks, lookback_of, window_bounds
 from perfmart.plans.columns import ENUM_FIELDS
 from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, PERFORMANCE_SLICES, ReportSpec
+from perfmart.session import tuned
 from perfmart.sources import tables
 from perfmart.sources.raw import read_mart, read_raw
 
@@ -139,7 +140,8 @@ def load_report(
     merged = run_report(
         raw, mart, spec, run_date, lookback, inclusive_start, dims, guard_null_keys
     )
-    tables.overwrite_partitions(merged, store.mart_path(spec))
+    with tuned(spark, spec):
+        tables.overwrite_partitions(merged, store.mart_path(spec))
 
 
 def load_backfill(
@@ -152,9 +154,9 @@ def load_backfill(
     """Write one run of a backfill report."""
     spec = BACKFILLS[name]
     raw = read_raw(spark, spec, store.raw_path(spec), run_date)
-    tables.overwrite_partitions(
-        backfill_report(raw, spec, run_date, dims), store.backfill_path(spec)
-    )
+    rows = backfill_report(raw, spec, run_date, dims)
+    with tuned(spark, spec):
+        tables.overwrite_partitions(rows, store.backfill_path(spec))
 
 
 def _consolidate(

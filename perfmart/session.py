@@ -1,20 +1,41 @@
-"""Session settings that the wide projections of the reports need."""
+"""Session settings that the wide projections of the reports need.
+
+They change speed only, never results.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
+from perfmart.plans.reports import ReportSpec
+
 _HUGE_METHOD = "spark.sql.codegen.hugeMethodLimit"
+_JIT_LIMIT = "8000"
+_SPARK_DEFAULT = "65535"
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Set what only changes speed, unless the session already sets it.
+def tune(spark: SparkSession, spec: ReportSpec) -> None:
+    """Choose how a report's projection is compiled, for the rest of the session.
 
     A report turns dozens of text columns into typed ones in a single projection.
-    Whole-stage codegen puts them into one Java method, and HotSpot interprets
-    methods above 8000 bytes of bytecode for ever.  With this limit Spark falls
-    back to its split projections there, which do get compiled.
+    Whole-stage codegen puts them into one Java method, and HotSpot never compiles
+    methods above 8000 bytes of bytecode.  With that limit Spark falls back to its
+    split projections, which do get compiled.  Where the projection sits on top of
+    a chain of joins the fused method is still the faster one, because it does not
+    copy the wide rows at every join.
     """
-    if spark.conf.get(_HUGE_METHOD) == "65535":
-        spark.conf.set(_HUGE_METHOD, "8000")
-    return spark
+    spark.conf.set(_HUGE_METHOD, _SPARK_DEFAULT if spec.lookups else _JIT_LIMIT)
+
+
+@contextmanager
+def tuned(spark: SparkSession, spec: ReportSpec) -> Iterator[None]:
+    """:func:`tune` for the length of a job."""
+    before = spark.conf.get(_HUGE_METHOD)
+    tune(spark, spec)
+    try:
+        yield
+    finally:
+        spark.conf.set(_HUGE_METHOD, before)
