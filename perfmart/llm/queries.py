@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import mixing, quality_rules, sharding
+from perfmart.llm import mixing, quality_rules, sharding, simhash
 from perfmart.llm.shared import read_table
 
 SHARDS = 8
@@ -26,6 +26,11 @@ def op1_jump_hash_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents, and the groups that links of up to 3 bits form."""
+    return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op4_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents to the weights 1, 2, 3 of their sources."""
     return mixing.mix_table(read_table(spark, sf_dir, "documents"))
@@ -51,6 +56,6 @@ def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_jump_hash_sharding, op4_hash_threshold_mix, op10_learned_decision_list)
+    for f in (op1_jump_hash_sharding, op2_gray_simhash, op4_hash_threshold_mix, op10_learned_decision_list)
 }
 ORACLE: dict[str, str] = {}
