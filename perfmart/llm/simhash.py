@@ -27,6 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perfmart.llm.components import components
 from perfmart.llm.shared import staged
@@ -75,8 +76,7 @@ def with_fingerprints(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*docs_columns, "_fp"])
 
     docs_columns = docs.columns
-    schema = docs.schema.add("_fp", "long")
-    return docs.mapInArrow(add, schema)
+    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField("_fp", T.LongType())]))
 
 
 def as_hex(fp: Column) -> Column:
