@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import mixing, quality_rules, sharding, simhash
+from perfmart.llm import decontaminate, mixing, quality_rules, sharding, simhash
 from perfmart.llm.shared import read_table
 
 SHARDS = 8
@@ -36,6 +36,11 @@ def op4_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(read_table(spark, sf_dir, "documents"))
 
 
+def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a passage of `benchmark`, with the item and the place."""
+    return decontaminate.contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics of all documents, and the verdict of a decision list learned from labels."""
     docs = read_table(spark, sf_dir, "documents")
@@ -56,6 +61,6 @@ def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_jump_hash_sharding, op2_gray_simhash, op4_hash_threshold_mix, op10_learned_decision_list)
+    for f in (op1_jump_hash_sharding, op2_gray_simhash, op4_hash_threshold_mix, op8_simhash_decontamination, op10_learned_decision_list)
 }
 ORACLE: dict[str, str] = {}
