@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import decontaminate, mixing, quality_rules, sharding, simhash
+from perfmart.llm import decontaminate, language, mixing, quality_model, quality_rules, sharding, simhash
 from perfmart.llm.shared import read_table
 
 SHARDS = 8
@@ -31,11 +31,23 @@ def op2_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op3_subword_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; the fold crc32(doc_id) mod 4 = 2 is never learned from."""
+    docs = read_table(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op4_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix of all documents to the weights 1, 2, 3 of their sources."""
     return mixing.mix_table(read_table(spark, sf_dir, "documents"))
 
 
+def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents by a scorer that weak labels train; `labels` is not read."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_model.score_documents(docs, quality_model.fit(docs))
+
+
 def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a passage of `benchmark`, with the item and the place."""
     return decontaminate.contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -61,6 +73,6 @@ def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_jump_hash_sharding, op2_gray_simhash, op4_hash_threshold_mix, op8_simhash_decontamination, op10_learned_decision_list)
+    for f in (op1_jump_hash_sharding, op2_gray_simhash, op3_subword_language_id, op4_hash_threshold_mix, op6_weak_label_quality, op8_simhash_decontamination, op10_learned_decision_list)
 }
 ORACLE: dict[str, str] = {}
