@@ -100,31 +100,33 @@ LABELLERS = 6
 
 @dataclass(frozen=True)
 class Labels:
-    """What EM found: the prior of good, and for each labeller its chances of each vote on bad and good texts."""
+    """What EM found: the prior of good, and for each labeller its chances to vote bad and good on bad and good texts.
+
+    Not to vote says nothing: most labellers are silent on short texts, whatever their quality.
+    """
 
     prior: float
     chances: np.ndarray
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         logs = [
-            np.log(p) + sum(np.log(self.chances[k, y, patterns[:, k] + 1]) for k in range(patterns.shape[1]))
+            np.log(p) + sum(np.where(patterns[:, k] == 0, 0.0, np.log(self.chances[k, y, (patterns[:, k] > 0).astype(int)])) for k in range(patterns.shape[1]))
             for y, p in ((0, 1 - self.prior), (1, self.prior))
         ]
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -60, 60)))
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray) -> Labels:
-    """Dawid and Skene's model by EM over vote patterns, started from the share of good votes."""
-    cast = (patterns != 0).sum(axis=1)
-    bad = (patterns < 0).sum(axis=1)
-    good = np.where(cast == 0, 0.5, np.clip(1 - 2.0 * bad / np.maximum(cast, 1), 0.02, 0.98))
-    labels = Labels(0.5, np.full((patterns.shape[1], 2, 3), 1 / 3))
+    """Dawid and Skene's model by EM over vote patterns, started from the doubt that any bad vote casts."""
+    bad, good = (patterns < 0).any(axis=1), (patterns > 0).any(axis=1)
+    good = np.where(bad, 0.1, np.where(good, 0.95, 0.5))
+    labels = Labels(0.5, np.full((patterns.shape[1], 2, 2), 1 / 2))
     for _ in range(ROUNDS):
         prior = float(np.clip((good * counts).sum() / counts.sum(), 0.01, 0.99))
-        chances = np.empty((patterns.shape[1], 2, 3))
+        chances = np.empty((patterns.shape[1], 2, 2))
         for k in range(patterns.shape[1]):
             for y, share in ((0, (1 - good) * counts), (1, good * counts)):
-                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 0, 1)]) + 1.0
+                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 1)]) + 1.0
                 chances[k, y] = seen / seen.sum()
         labels = Labels(prior, chances)
         good = labels.posterior(patterns)
