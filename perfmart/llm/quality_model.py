@@ -37,6 +37,9 @@ BATCH = 32
 RATE = 1.0
 ROUNDS = 60
 KEEP_FROM = 0.5
+PRIOR_SHARE = 0.5
+#: Expected shares of bad and good votes on bad and on good texts.
+PRIOR_VOTES = ((0.5, 0.5), (0.005, 0.995))
 SLICE_BYTES = 1 << 20
 
 TABLE = byte_table(MARKS, fold_case=False)
@@ -117,7 +120,11 @@ class Labels:
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray) -> Labels:
-    """Dawid and Skene's model by EM over vote patterns, started from the doubt that any bad vote casts."""
+    """Dawid and Skene's model by EM over vote patterns, started from the doubt that any bad vote casts.
+
+    A prior of PRIOR_SHARE of all documents says what the labellers were written for: a bad
+    vote is rare on a good text and as likely as not on a bad one.
+    """
     bad, good = (patterns < 0).any(axis=1), (patterns > 0).any(axis=1)
     good = np.where(bad, 0.1, np.where(good, 0.95, 0.5))
     labels = Labels(0.5, np.full((patterns.shape[1], 2, 2), 1 / 2))
@@ -126,7 +133,8 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> Labels:
         chances = np.empty((patterns.shape[1], 2, 2))
         for k in range(patterns.shape[1]):
             for y, share in ((0, (1 - good) * counts), (1, good * counts)):
-                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 1)]) + 1.0
+                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 1)])
+                seen = seen + PRIOR_SHARE * counts.sum() * np.array(PRIOR_VOTES[y])
                 chances[k, y] = seen / seen.sum()
         labels = Labels(prior, chances)
         good = labels.posterior(patterns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import decontaminate, language, mixing, quality_model, quality_rules, sharding, simhash
+from perfmart.llm import decontaminate, language, mixing, pii, quality_model, quality_rules, secrets, sharding, simhash
 from perfmart.llm.shared import read_table
 
 SHARDS = 8
@@ -42,6 +42,11 @@ def op4_hash_threshold_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(read_table(spark, sf_dir, "documents"))
 
 
+def op5_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of personal data in all documents."""
+    return pii.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+
 def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of all documents by a scorer that weak labels train; `labels` is not read."""
     docs = read_table(spark, sf_dir, "documents")
@@ -53,6 +58,11 @@ def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op9_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of secrets in all documents, told apart by how many sources hold each value."""
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+
 def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics of all documents, and the verdict of a decision list learned from labels."""
     docs = read_table(spark, sf_dir, "documents")
@@ -73,6 +83,17 @@ def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_jump_hash_sharding, op2_gray_simhash, op3_subword_language_id, op4_hash_threshold_mix, op6_weak_label_quality, op8_simhash_decontamination, op10_learned_decision_list)
+    for f in (
+        op1_jump_hash_sharding,
+        op2_gray_simhash,
+        op3_subword_language_id,
+        op4_hash_threshold_mix,
+        op5_weak_supervision_pii,
+        op6_weak_label_quality,
+        op8_simhash_decontamination,
+        op9_ownership_secrets,
+        op10_learned_decision_list,
+    )
 }
+#: None of the ten results is plain SQL: they rest on checksums, 64-bit hashes and learned models.
 ORACLE: dict[str, str] = {}
