@@ -117,11 +117,15 @@ def wider_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
         if kind == "email" and not re.search(r"\bdot\b|\bat[)\]]|\sat\s\S+\.\S", text):
             continue
         for m in pattern.finditer(text):
-            if all(m.end() <= a or b <= m.start() for _, a, b in base + out):
+            if (kind != "email" or _ending(m.group()) in ENDINGS) and all(m.end() <= a or b <= m.start() for _, a, b in base + out):
                 out.append((kind, m.start(), m.end()))
     return out
 
 
+def _ending(address: str) -> str:
+    return re.split(r"[.\s()\[\]]+", address.rstrip(")] "))[-1].lower()
+
+
 def votes(text: str, kind: str, first: int, last: int) -> list[int]:
     """The labelling functions: 1 personal, -1 not, 0 no vote."""
     span, before, after = text[first:last], text[max(0, first - CONTEXT) : first], text[last : last + CONTEXT]
@@ -129,7 +133,7 @@ def votes(text: str, kind: str, first: int, last: int) -> list[int]:
     digits = _digits(span)
     # Form of the candidate.
     if kind == "email":
-        ending = re.split(r"[.\s()\[\]]+", span.rstrip(")] "))[-1].lower()
+        ending = _ending(span)
         form = 1 if "@" in span else 0
         known = 1 if ending in ENDINGS else -1
     elif kind == "ip":

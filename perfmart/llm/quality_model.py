@@ -37,9 +37,7 @@ BATCH = 32
 RATE = 1.0
 ROUNDS = 60
 KEEP_FROM = 0.5
-PRIOR_SHARE = 0.5
-#: Expected shares of bad and good votes on bad and on good texts.
-PRIOR_VOTES = ((0.5, 0.5), (0.005, 0.995))
+PRIOR_SHARE = 0.2
 SLICE_BYTES = 1 << 20
 
 TABLE = byte_table(MARKS, fold_case=False)
@@ -49,11 +47,11 @@ LETTER = (((_CODES | 32) >= 97) & ((_CODES | 32) <= 122) | (_CODES >= 128)).asty
 MARK = np.isin(_CODES, [ord(c) for c in MARKS]).astype(np.uint8)
 LINE_END = (_CODES == 10).astype(np.uint8)
 
-MEASURES = ("words", "capitals", "marks", "distinct", "word_length", "line_words")
+MEASURES = ("words", "capitals", "marks", "repeats", "word_length", "line_words")
 
 
 def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each row: words, share of capitals among letters, marks per word, share of distinct words, letters per word, words per line."""
+    """For each row: words, share of capitals among letters, marks per word, share of words equal to the one before, letters per word, words per line."""
     found = words_of(data, offsets)
     raw = data[offsets[0] : offsets[-1]]
     at = offsets - offsets[0]
@@ -62,14 +60,15 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return np.diff(np.r_[0, np.cumsum(table[raw], dtype=np.int64)][at])
 
     n = np.diff(found.bounds)
-    distinct = np.array([len(np.unique(found.hash[a:b])) for a, b in zip(found.bounds[:-1], found.bounds[1:], strict=True)])
+    again = np.r_[False, found.hash[1:] == found.hash[:-1]][: len(found.hash)]
+    again[found.bounds[:-1][found.bounds[:-1] < len(again)]] = False
     words, letters = np.maximum(n, 1), total(LETTER)
     return np.stack(
         [
             n,
             total(CAPITAL) / np.maximum(letters, 1),
             total(MARK) / words,
-            distinct / words,
+            np.diff(np.r_[0, np.cumsum(again)][found.bounds]) / words,
             letters / words,
             n / (total(LINE_END) + 1),
         ],
@@ -78,42 +77,35 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def votes(m: np.ndarray) -> np.ndarray:
-    """A row of votes for each row of measures: 1 good, -1 bad, 0 none."""
-    words, capitals, marks, distinct, length, line = m.T
-    long_ = words >= 50
+    """A row of votes for each row of measures: 1 good, -1 bad, 0 none.
 
-    def vote(bad: np.ndarray, good: np.ndarray) -> np.ndarray:
-        return np.where(bad, -1, np.where(good, 1, 0))
-
-    return np.stack(
-        [
-            vote(words < 20, long_),
-            vote(capitals > 0.3, capitals < 0.08),
-            vote(marks > 0.3, marks < 0.02),
-            vote((distinct < 0.2) & long_, (distinct > 0.35) & long_),
-            vote((length < 3) | (length > 14), (length > 4) & (length < 10)),
-            vote((line > 400) | (line < 3), (line > 6) & (line < 120)),
-        ],
-        axis=1,
-    ).astype(np.int8)
+    Four labellers each know one fault and are silent otherwise; two know good prose.
+    """
+    words, capitals, marks, repeats, length, line = m.T
+    bad = [capitals > 0.15, marks > 0.1, repeats > 0.1, (length < 2) | (length > 14)]
+    good = [
+        (words > 0) & (capitals < 0.12) & (marks < 0.02) & (repeats < 0.03) & (length > 2.5) & (length < 12),
+        (words >= 50) & (line > 6) & (line < 200) & (marks < 0.1),
+    ]
+    return np.stack([*(-x.astype(np.int8) for x in bad), *(x.astype(np.int8) for x in good)], axis=1)
 
 
-LABELLERS = 6
+FAULTS, LABELLERS = 4, 6
+#: Expected shares of bad, no and good votes on bad and on good texts, of fault-finders and of the others.
+PRIOR_FAULTS = ((0.3, 0.7, 1e-6), (0.003, 0.997, 1e-6))
+PRIOR_PROSE = ((1e-6, 0.8, 0.2), (1e-6, 0.2, 0.8))
 
 
 @dataclass(frozen=True)
 class Labels:
-    """What EM found: the prior of good, and for each labeller its chances to vote bad and good on bad and good texts.
-
-    Not to vote says nothing: most labellers are silent on short texts, whatever their quality.
-    """
+    """What EM found: the prior of good, and for each labeller its chances of each vote on bad and good texts."""
 
     prior: float
     chances: np.ndarray
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
         logs = [
-            np.log(p) + sum(np.where(patterns[:, k] == 0, 0.0, np.log(self.chances[k, y, (patterns[:, k] > 0).astype(int)])) for k in range(patterns.shape[1]))
+            np.log(p) + sum(np.log(self.chances[k, y, patterns[:, k] + 1]) for k in range(patterns.shape[1]))
             for y, p in ((0, 1 - self.prior), (1, self.prior))
         ]
         return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -60, 60)))
@@ -122,19 +114,18 @@ class Labels:
 def estimate(patterns: np.ndarray, counts: np.ndarray) -> Labels:
     """Dawid and Skene's model by EM over vote patterns, started from the doubt that any bad vote casts.
 
-    A prior of PRIOR_SHARE of all documents says what the labellers were written for: a bad
-    vote is rare on a good text and as likely as not on a bad one.
+    A prior of PRIOR_SHARE of all documents says what the labellers were written for.
     """
     bad, good = (patterns < 0).any(axis=1), (patterns > 0).any(axis=1)
     good = np.where(bad, 0.1, np.where(good, 0.95, 0.5))
-    labels = Labels(0.5, np.full((patterns.shape[1], 2, 2), 1 / 2))
+    labels = Labels(0.5, np.full((patterns.shape[1], 2, 3), 1 / 3))
     for _ in range(ROUNDS):
         prior = float(np.clip((good * counts).sum() / counts.sum(), 0.01, 0.99))
-        chances = np.empty((patterns.shape[1], 2, 2))
+        chances = np.empty((patterns.shape[1], 2, 3))
         for k in range(patterns.shape[1]):
+            expected = PRIOR_FAULTS if k < FAULTS else PRIOR_PROSE
             for y, share in ((0, (1 - good) * counts), (1, good * counts)):
-                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 1)])
-                seen = seen + PRIOR_SHARE * counts.sum() * np.array(PRIOR_VOTES[y])
+                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 0, 1)]) + PRIOR_SHARE * counts.sum() * np.array(expected[y])
                 chances[k, y] = seen / seen.sum()
         labels = Labels(prior, chances)
         good = labels.posterior(patterns)
