@@ -30,7 +30,6 @@ from perfmart.llm.shared import staged
 KINDS = ("email", "ip", "card", "phone")
 #: FIXED VALUES: the base patterns.
 DOMAIN = re.compile(r"@([A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+)")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -113,11 +112,15 @@ def wider_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
     if "@" not in text and " at " not in text and "at)" not in text and "at]" not in text and not any(d in text for d in "0123456789"):
         return []
     out: list[tuple[str, int, int]] = []
+    taken = bytearray(len(text))
+    for _, first, last in base:
+        taken[first:last] = b"\1" * (last - first)
     for kind, pattern in WIDER:
         if kind == "email" and not re.search(r"\bdot\b|\bat[)\]]|\sat\s\S+\.\S", text):
             continue
         for m in pattern.finditer(text):
-            if (kind != "email" or _ending(m.group()) in ENDINGS) and all(m.end() <= a or b <= m.start() for _, a, b in base + out):
+            if (kind != "email" or _ending(m.group()) in ENDINGS) and not any(taken[m.start() : m.end()]):
+                taken[m.start() : m.end()] = b"\1" * len(m.group())
                 out.append((kind, m.start(), m.end()))
     return out
 

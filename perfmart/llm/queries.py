@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import decontaminate, language, mixing, pii, quality_model, quality_rules, secrets, sharding, simhash
+from perfmart.llm import decontaminate, language, mixing, pii, quality_model, quality_rules, secrets, sharding, simhash, suffix_dedup
 from perfmart.llm.shared import read_table
 
 SHARDS = 8
@@ -53,6 +53,11 @@ def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_documents(docs, quality_model.fit(docs))
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without the 50-byte strings that start in earlier ones."""
+    return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a passage of `benchmark`, with the item and the place."""
     return decontaminate.contaminations(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_hash_threshold_mix,
         op5_weak_supervision_pii,
         op6_weak_label_quality,
+        op7_suffix_array_dedup,
         op8_simhash_decontamination,
         op9_ownership_secrets,
         op10_learned_decision_list,
