@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfmart.llm.bytewords import BASE, BASE_INVERSE, mix, slices
-from perfmart.llm.shared import staged
+from perfmart.llm.shared import release_shuffles, staged
 
 WINDOW = 50
 PREFIX = 16
@@ -143,13 +143,26 @@ def _in_parts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray] |
     return {k: np.concatenate([p[k] for p in out]) for k in out[0]} if out else None
 
 
-def settle(gram: np.ndarray, around: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order by (gram, around, doc), and which in that order have an equal of a smaller document."""
-    order = np.lexsort((doc, around, gram))
-    g, a, d = gram[order], around[order], doc[order]
-    new = np.r_[True, (g[1:] != g[:-1]) | (a[1:] != a[:-1])] if len(g) else np.empty(0, bool)
-    least = d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(g) else d
-    return order, d > least
+def settle(first_key: np.ndarray, second_key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by the first key, and which in that order have equal keys of a smaller document."""
+    order = np.argsort(first_key)
+    known = np.zeros(len(order), bool)
+    at = np.flatnonzero(_several(first_key[order]))
+    if len(at):
+        # Most keys occur once; only the others are sorted by everything.
+        rows = order[at]
+        inner = np.lexsort((doc[rows], second_key[rows], first_key[rows]))
+        f, s, d = first_key[rows][inner], second_key[rows][inner], doc[rows][inner]
+        new = np.r_[True, (f[1:] != f[:-1]) | (s[1:] != s[:-1])]
+        order[at] = rows[inner]
+        known[at] = d > d[np.flatnonzero(new)][np.cumsum(new) - 1]
+    return order, known
+
+
+def _several(sorted_: np.ndarray) -> np.ndarray:
+    """Which of some sorted values occur more than once."""
+    same = sorted_[1:] == sorted_[:-1]
+    return np.r_[False, same] | np.r_[same, False] if len(sorted_) else np.empty(0, bool)
 
 
 def _joined(doc: np.ndarray, check: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -222,16 +235,18 @@ def merge_last(levels: list[Level], found: list[Level]) -> None:
 
 def open_questions(level: Level) -> np.ndarray:
     """Which suffixes of a sorted array share the prefix and one side with another document."""
-    gram, around, doc = level[:3]
-    out = np.zeros(len(gram), bool)
+    out = np.zeros(len(level[0]), bool)
+    rows = np.flatnonzero(_several(level[0]))
+    if not len(rows):
+        return out
+    gram, around, doc = (c[rows] for c in level[:3])
     for side in (around >> np.uint64(43), (around >> np.uint64(22)) & np.uint64((1 << 21) - 1)):
         order = np.lexsort((doc, side, gram))
         g, s, d = gram[order], side[order], doc[order]
-        new = np.r_[True, (g[1:] != g[:-1]) | (s[1:] != s[:-1])] if len(g) else np.empty(0, bool)
+        new = np.r_[True, (g[1:] != g[:-1]) | (s[1:] != s[:-1])]
         at = np.flatnonzero(new)
-        if len(at):
-            several = d[at] != d[np.r_[at[1:], len(d)] - 1]
-            out[order[several[np.cumsum(new) - 1]]] = True
+        several = d[at] != d[np.r_[at[1:], len(d)] - 1]
+        out[rows[order[several[np.cumsum(new) - 1]]]] = True
     return out
 
 
@@ -273,11 +288,11 @@ def _settled(found: list[Level]) -> Iterator[pa.RecordBatch]:
         yield _found_rows(doc, check, np.zeros(len(doc), np.int64), at - ((place >> 8) & 255), at - (place & 255), True)
 
 
-WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "window", "doc_id", "check", "first")])
+WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "doc_id", "check", "first")] + [T.StructField("hashes", T.ArrayType(T.LongType()))])
 
 
 def windows(docs: DataFrame, questions: DataFrame) -> DataFrame:
-    """The hash of every window of the stretches in question."""
+    """The hashes of all windows of the stretches in question, a row for each stretch."""
     asked = questions.groupBy("doc_id", F.col("check").alias("_check")).agg(F.collect_list(F.struct("gram", "first", "last")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,14 +302,38 @@ def windows(docs: DataFrame, questions: DataFrame) -> DataFrame:
                 stretch = batch.column(3)[i].values
                 gram, first, last = (stretch.field(k).to_numpy() for k in range(3))
                 size = last - first + 1
-                start = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-                hashes = mix(Prefixes(raw).of(start, start + WINDOW))
-                same = (np.full(len(start), batch.column(k)[i].as_py()) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (np.repeat(gram, size), hashes.view(np.int64), *same, start)], WINDOWS.names)
+                ends = np.cumsum(size)
+                start = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
+                hashes = mix(Prefixes(raw).of(start, start + WINDOW)).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(hashes))
+                same = [pa.array(np.full(len(gram), batch.column(k)[i].as_py())) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(gram), *same, pa.array(first), lists], WINDOWS.names)
 
     return docs.join(asked, ["doc_id", "_check"], "left").select("doc_id", "_check", "text", "asked").mapInArrow(run, WINDOWS)
 
 
+STRETCH = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "check", "first", "last")])
+
+
+def repeated_windows(asked: DataFrame) -> DataFrame:
+    """The stretches of windows that also start in a document with a smaller id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            size = batch.column(4).value_lengths().to_numpy().astype(np.int64)
+            inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            gram, doc, check, first = (np.repeat(batch.column(i).to_numpy(), size) for i in range(4))
+            held.append((batch.column(4).flatten().to_numpy().view(np.uint64), gram.view(np.uint64), doc, check, first + inner))
+        if held:
+            window, gram, doc, check, first = (np.concatenate(c) for c in zip(*held, strict=True))
+            order, known = settle(window, gram, doc)
+            rows = order[known]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _joined(doc[rows], check[rows], first[rows], first[rows])], STRETCH.names)
+
+    return asked.repartition("gram").mapInArrow(run, STRETCH)
+
+
 RESULT = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -326,9 +365,8 @@ def deduplicate(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_check")
     )
     found = staged(match(suffix_arrays(rows)), "repeats")
-    compared = windows(rows, found.filter("NOT settled"))
-    least = compared.groupBy("gram", "window").agg(F.min("doc_id").alias("_least"))
-    repeated = compared.join(least, ["gram", "window"]).filter("doc_id > _least").select("doc_id", "check", "first", F.col("first").alias("last"))
+    release_shuffles(docs.sparkSession)
+    repeated = repeated_windows(windows(rows, found.filter("NOT settled")))
     settled = found.filter("settled").select("doc_id", "check", "first", "last")
     gone = (
         settled.unionByName(repeated)
