@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 #: The characters that part words: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[ \t-\r]+"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def words(text: Column) -> Column:
@@ -45,22 +45,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again.
 
     It cuts the lineage and keeps what several readers need; a lost executor costs only
-    its running tasks.  The folder belongs to the run, and whoever owns the shared
-    folder clears it.
+    its running tasks.  The shuffle files of the write go when it is done, since nothing
+    reads them again.  The folder belongs to the run, and whoever owns the shared folder
+    clears it.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that are no longer referenced.
-
-    Its cleaner acts when the driver's JVM collects garbage, by default every half hour;
-    after a large staged step this is worth asking for at once.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
