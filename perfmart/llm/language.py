@@ -27,7 +27,9 @@ from perfmart.llm.subwords import Grams, byte_table, grams
 UNKNOWN = "und"
 BITS = 15
 DIMENSIONS = 16
+#: Passes over the sample; a small sample gets more, for so many steps at least.
 EPOCHS = 6
+LEAST_STEPS = 500
 BATCH = 32
 RATE = 4.0
 #: Labelled texts for training and calibration, in all languages together (expected).
@@ -82,12 +84,14 @@ def labelled_sample(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
 
 
 def train(examples: list[tuple[tuple[np.ndarray, np.ndarray], int]], classes: int, seed: int = 7) -> np.ndarray:
-    """Bucket weights (embeddings times softmax weights) after EPOCHS of SGD with a falling rate."""
+    """Bucket weights (embeddings times softmax weights) after SGD with a falling rate."""
     rng = np.random.default_rng(seed)
     embed = rng.uniform(-1 / DIMENSIONS, 1 / DIMENSIONS, (1 << BITS, DIMENSIONS)).astype(np.float32)
     out = np.zeros((DIMENSIONS, classes), np.float32)
-    steps, step = EPOCHS * -(-len(examples) // BATCH), 0
-    for _ in range(EPOCHS):
+    batches = -(-len(examples) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    steps, step = epochs * batches, 0
+    for _ in range(epochs):
         order = rng.permutation(len(examples))
         for at in range(0, len(order), BATCH):
             picked = [examples[i] for i in order[at : at + BATCH]]

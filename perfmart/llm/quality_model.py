@@ -32,7 +32,9 @@ MARKS = "#*$%&|<>!"
 BITS = 15
 #: Texts that train the linear model, by the hash of their id (expected number).
 SAMPLE = 6000
+#: Passes over the sample; a small sample gets more, for so many steps at least.
 EPOCHS = 8
+LEAST_STEPS = 500
 BATCH = 32
 RATE = 1.0
 ROUNDS = 60
@@ -152,8 +154,12 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]], seed
     """Logistic regression on soft labels; examples are (buckets, shares, shaped measures, label)."""
     rng = np.random.default_rng(seed)
     buckets, dense = np.zeros(1 << BITS), np.zeros(len(MEASURES) + 1)
-    steps, step = EPOCHS * -(-len(examples) // BATCH), 0
-    for _ in range(EPOCHS):
+    if not examples:
+        return Scorer(buckets, dense)
+    batches = -(-len(examples) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    steps, step = epochs * batches, 0
+    for _ in range(epochs):
         order = rng.permutation(len(examples))
         for at in range(0, len(order), BATCH):
             picked = [examples[i] for i in order[at : at + BATCH]]

@@ -1,0 +1,24 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import data  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(data.rows(), data.SCHEMA).repartition(3).persist()
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], data.SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"
