@@ -1,4 +1,6 @@
-"""Small hand-made documents with the cases that the operators define."""
+"""Small hand-made documents with the cases that the operators define, and fixtures."""
+
+import pytest
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, slot string"
 
@@ -27,3 +29,18 @@ def rows():
     ]
     out = [(i, t, "en" if i % 3 else None, f"s{i % 4}" if i % 5 else None, len(t or ""), "a", "b") for i, t in enumerate(texts)]
     return [*out, out[4], out[4], (None, PROSE, None, None, None, None, None), (None, None, None, None, None, None, None)]
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3).persist()
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def small():
+    return "/root/testdata/sf0.001"

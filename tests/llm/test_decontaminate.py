@@ -5,6 +5,7 @@ import numpy as np
 
 from perfmart.llm import decontaminate
 from perfmart.llm.queries import QUERIES
+from data import none, small  # noqa: F401
 
 
 def words(text):

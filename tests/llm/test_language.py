@@ -2,6 +2,7 @@ import zlib
 
 from perfmart.llm import language
 from perfmart.llm.queries import QUERIES
+from data import docs, none, small  # noqa: F401
 
 
 def test_held_out_accuracy(spark, small):

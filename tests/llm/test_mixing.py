@@ -4,6 +4,7 @@ import pytest
 
 from perfmart.llm import mixing
 from perfmart.llm.queries import QUERIES
+from data import docs, none, small  # noqa: F401
 
 
 def shares(sizes, most=3):

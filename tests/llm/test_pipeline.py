@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from test_decontaminate import brute as leaks
 from test_mixing import shares
 from test_simhash import brute_fingerprint, brute_groups
+from data import docs, none, small  # noqa: F401
 
 
 def test_stages_against_brute_force(spark, small):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from perfmart.llm import quality_model, quality_rules
 from perfmart.llm.queries import QUERIES
 from perfmart.llm.shared import staged
+from data import docs, none, small  # noqa: F401
 
 
 def base(text):

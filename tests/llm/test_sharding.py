@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from perfmart.llm import sharding
 from perfmart.llm.queries import QUERIES
+from data import docs, none, small  # noqa: F401
 
 
 def jump(key, shards):

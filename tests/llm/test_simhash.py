@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from perfmart.llm import components, simhash
 from perfmart.llm.queries import QUERIES
 from perfmart.llm.shared import staged
+from data import docs, none, small  # noqa: F401
 
 
 def brute_fingerprint(text):

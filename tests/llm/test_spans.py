@@ -3,6 +3,7 @@ import re
 
 from perfmart.llm import pii, secrets
 from perfmart.llm.queries import QUERIES
+from data import none, small  # noqa: F401
 
 CASES = [
     (1, "a.b@c.d@e.f x@y x@y.z. call 1.2.3.4.5.6 999.1.1.1 4111 1111 1111 1111 and +1 (212) 555-0100 éé+49 30 1234567"),

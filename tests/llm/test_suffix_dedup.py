@@ -6,6 +6,7 @@ import pytest
 
 from perfmart.llm import suffix_dedup
 from perfmart.llm.queries import QUERIES
+from data import none, small  # noqa: F401
 
 
 def brute(rows):
