@@ -54,7 +54,7 @@ def _lookups(spec: ReportSpec) -> str:
     for c in spec.lookups:
         table, key, _ = DIMS[c.raw]
         field = LOCATION_FIELDS[c.raw]
-        text = f"raw.{field}" if c.raw == "country" else f"substr(raw.{field}, 20, 7)"
+        text = f"raw.{field}" if c.raw == "country" else f"substr(raw.{field}, 20)"
         joins.append(f"JOIN {table} AS {c.raw} ON TRY_CAST({text} AS BIGINT) = {c.raw}.{key}")
     return " ".join(joins)
 

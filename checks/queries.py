@@ -231,15 +231,12 @@ def _(t):
     "carry_forward_null_key",
     f"WITH fresh AS ({oracle.fresh(SEARCH, headers=True)}), mart AS ({oracle.history(SEARCH)}), "
     f"merged AS (SELECT * FROM fresh UNION {oracle.carried(SEARCH)}) "
-    "SELECT data_date, external_customer_id, ad_group_id, campaign_name, clicks FROM merged",
+    "SELECT * FROM merged",
 )
 def _(t):
     # Header rows that the report keeps: their account is NULL, so nothing is carried.
     raw = views.raw_batch(t, SEARCH, headers=True)
-    merged = run_report(raw, views.mart_history(t, SEARCH), SEARCH, RUN_DATE, LOOKBACK)
-    return merged.select(
-        "data_date", "external_customer_id", "ad_group_id", "campaign_name", "clicks"
-    )
+    return run_report(raw, views.mart_history(t, SEARCH), SEARCH, RUN_DATE, LOOKBACK)
 
 
 @query(
@@ -353,15 +350,19 @@ def _(t):
 
 @query(
     "decode_enums_by_table",
-    "SELECT c_custkey, n_name AS c_nationkey, c_mktsegment FROM customer "
-    "LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 4) ON c_nationkey = n_nationkey",
+    "SELECT c_custkey, n_name AS c_nationkey, c_mktsegment FROM customer LEFT JOIN nation "
+    "ON CASE WHEN c_mktsegment = 'MACHINERY' THEN c_nationkey + 100 ELSE c_nationkey END = n_nationkey",
 )
 def _(t):
-    # Nation names stand for an enum's names; those of one region are unknown.
-    dim = t["nation"].where("n_regionkey < 4").select(
+    # Nation names stand for an enum's names; one segment's codes are unknown.
+    dim = t["nation"].select(
         F.lit("NationEnum").alias("enum"), F.col("n_nationkey").alias("code"), F.col("n_name").alias("name")
     )
-    coded = t["customer"].select("c_custkey", "c_nationkey", "c_mktsegment")
+    coded = t["customer"].selectExpr(
+        "c_custkey",
+        "case when c_mktsegment = 'MACHINERY' then c_nationkey + 100 else c_nationkey end as c_nationkey",
+        "c_mktsegment",
+    )
     return records.decode_enums_by_table(coded, dim, {"c_nationkey": "NationEnum"})
 
 
@@ -372,8 +373,11 @@ def _(t):
 )
 def _(t):
     flat = records.flatten_records(nested(t))
-    decoded = records.decode_enums(flat, {"CampaignStatusEnum": _STATUS_NAMES}, _STATUS_ENUM)
-    return quality.decode_loss_counts(flat, decoded, ["campaign_status"])
+    return quality.decode_loss_counts(
+        flat,
+        lambda df: records.decode_enums(df, {"CampaignStatusEnum": _STATUS_NAMES}, _STATUS_ENUM),
+        ["campaign_status"],
+    )
 
 
 @query(

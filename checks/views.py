@@ -121,13 +121,7 @@ class Tables:
 
 
 def lines(t: Tables) -> DataFrame:
-    """``lineitem``, spread over the cores where it is fewer files than those.
-
-    The test tables are single files that one task would read and widen alone.
-    """
-    df = t["lineitem"]
-    cores = t.spark.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+    return t["lineitem"]
 
 
 def accounts(t: Tables) -> DataFrame:

@@ -7,8 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perfmart.operators.joins import bounded_join
-
 # A bigint key set of this size is a few tens of megabytes as a broadcast relation.
 BROADCAST_KEYS = 1_000_000
 
@@ -56,7 +54,9 @@ def carry_forward(
     row, a NULL key in the batch keeps none, and a NULL published key is kept only
     by an empty batch.  Spark can run a literal ``NOT IN`` only by broadcasting
     the keys whatever their number.  Here the profile settles the NULL cases, and
-    what is left is a plain anti-join, broadcast while the keys are few.
+    what is left is a plain anti-join, broadcast while the keys are few.  Beyond that
+    it is a sort-merge join, whose published side adaptive execution splits where one
+    account holds too much of it; no side is copied.
     """
     profile = profile or profile_keys(fresh, key)
     window = in_window(mart, start, end)
@@ -66,9 +66,9 @@ def carry_forward(
         return window.where(F.lit(False))
     keys = fresh.select(key).distinct()
     known = window.where(F.col(key).isNotNull())
-    return bounded_join(
-        known, keys, key, "left_anti", broadcast=profile.distinct <= max_broadcast
-    ).select(*mart.columns)
+    if profile.distinct <= max_broadcast:
+        keys = F.broadcast(keys)
+    return known.join(keys, key, "left_anti").select(*mart.columns)
 
 
 def merge_distinct(fresh: DataFrame, carried: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfmart.functions.casts import legacy_long
-from perfmart.operators.joins import BROADCAST_ROWS, bounded_join
+from perfmart.operators.joins import BROADCAST_ROWS
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -18,27 +19,32 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _NO_LOCATION = -(2**63)
 
 
-def dims_fit(dims: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether all dimensions together are small enough to broadcast (one job)."""
-    rows = [d.select(F.lit(1)).limit(max_rows + 1) for d in dims.values()]
-    return reduce(DataFrame.union, rows).count() <= max_rows
+def dims_fit(dims: dict[str, DataFrame], max_rows: int = BROADCAST_ROWS) -> dict[str, bool]:
+    """Which dimensions are small enough to broadcast (one job for all of them)."""
+    rows = [d.select(F.lit(level).alias("level")).limit(max_rows + 1) for level, d in dims.items()]
+    counted = {r["level"]: r["count"] for r in reduce(DataFrame.union, rows).groupBy("level").count().collect()}
+    return {level: counted.get(level, 0) <= max_rows for level in dims}
 
 
 def lookup_names(
     df: DataFrame,
     dims: dict[str, DataFrame],
     keys: dict[str, Column],
-    broadcast: bool | None = None,
+    broadcast: Mapping[str, bool] | bool | None = None,
 ) -> DataFrame:
     """Add ``<level>_name`` for every level; keep rows that resolve at all of them.
 
     ``dims`` are ``(id, cannonicalname)``.  ``keys`` are text; they are compared as
-    numbers where the dimension's id is a number.
+    numbers where the dimension's id is a number.  Each dimension is broadcast if it
+    fits, and those come first, so that the rows they drop are not shuffled for the
+    others; there, rows without a number are dropped before the shuffle too.
     """
     used = {level: dims[level] for level in keys}
     if broadcast is None:
         broadcast = dims_fit(used)
-    for level, key in keys.items():
+    if isinstance(broadcast, bool):
+        broadcast = dict.fromkeys(keys, broadcast)
+    for level, key in sorted(keys.items(), key=lambda k: not broadcast[k[0]]):
         dim = used[level].select(
             F.col("id").alias("_key"), F.col("cannonicalname").alias(f"{level}_name")
         )
@@ -46,5 +52,11 @@ def lookup_names(
             dim = dim.withColumn("_key", F.col("_key").cast("bigint"))
             dim = dim.where(F.col("_key") != _NO_LOCATION)
             key = F.coalesce(legacy_long(key), F.lit(_NO_LOCATION))
-        df = bounded_join(df.withColumn("_key", key), dim, "_key", "inner", broadcast).drop("_key")
+        keyed = df.withColumn("_key", key)
+        if broadcast[level]:
+            df = keyed.join(F.broadcast(dim), "_key").drop("_key")
+        else:
+            # The dimension has no such key; without the rows that do, no task gets them all.
+            located = F.col("_key") != _NO_LOCATION if isinstance(dim.schema["_key"].dataType, T.LongType) else F.lit(True)
+            df = keyed.where(located).join(dim, "_key").drop("_key")
     return df

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perfmart.functions.casts import CASTS
 from perfmart.operators.lookup import lookup_names
-from perfmart.plans.columns import LOCATION_FIELDS, LOCATION_ID_LENGTH, LOCATION_PREFIX_LENGTH
+from perfmart.plans.columns import LOCATION_FIELDS, LOCATION_PREFIX_LENGTH
 from perfmart.plans.reports import ReportSpec, TypedCriteria
 
 
@@ -30,7 +32,7 @@ def location_keys() -> dict[str, Column]:
         if level == "country":
             keys[level] = F.col(raw_field)
         else:
-            keys[level] = F.substring(raw_field, LOCATION_PREFIX_LENGTH + 1, LOCATION_ID_LENGTH)
+            keys[level] = F.substr(F.col(raw_field), F.lit(LOCATION_PREFIX_LENGTH + 1))
     return keys
 
 
@@ -44,7 +46,7 @@ def project(
     spec: ReportSpec,
     run_date: str | None = None,
     dims: dict[str, DataFrame] | None = None,
-    broadcast_dims: bool | None = None,
+    broadcast_dims: Mapping[str, bool] | bool | None = None,
 ) -> DataFrame:
     """Rows of one run, typed and renamed as the report publishes them.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,7 +56,11 @@ def count_dates(df: DataFrame, date_col: str, start: str, end: str) -> DataFrame
 
 
 def input_readiness(tables: dict[str, DataFrame], run_date: str) -> DataFrame:
-    """``(table, ready)``: which inputs have the run date's partition."""
+    """``(table, ready)``: which inputs have a row in the run date's partition.
+
+    For tables that the writers of this library made that is the same as having the
+    partition: they never leave an empty one.
+    """
     checks = [
         df.where(F.col("data_date") == run_date)
         .select(F.lit(1))
@@ -82,15 +87,14 @@ def cast_loss_counts(raw: DataFrame, spec: ReportSpec) -> DataFrame:
     return sums.unpivot([], [c.name for c in cast], "column", "lost")
 
 
-def decode_loss_counts(before: DataFrame, after: DataFrame, fields: list[str]) -> DataFrame:
+def decode_loss_counts(
+    df: DataFrame, decode: Callable[[DataFrame], DataFrame], fields: list[str]
+) -> DataFrame:
     """``(column, lost)``: enum codes that no name was found for.
 
-    NULLs added by the decoding are those after it less those before it.
+    ``decode`` names the codes of ``fields`` and keeps all other columns.  The codes
+    ride along, so one pass sees each code beside its name.
     """
-
-    def nulls(df: DataFrame, sign: int) -> DataFrame:
-        sums = df.agg(*[(F.count_if(F.col(f).isNull()) * sign).alias(f) for f in fields])
-        return sums.unpivot([], fields, "column", "n")
-
-    both = nulls(after, 1).union(nulls(before, -1))
-    return both.groupBy("column").agg(F.sum("n").alias("lost"))
+    coded = decode(df.withColumns({f"_code_{f}": F.col(f) for f in fields}))
+    lost = [F.count_if(F.col(f"_code_{f}").isNotNull() & F.col(f).isNull()).alias(f) for f in fields]
+    return coded.agg(*lost).unpivot([], fields, "column", "lost")

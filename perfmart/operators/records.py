@@ -54,7 +54,7 @@ def decode_enums(
     for column, enum in fields.items():
         if column in df.columns:
             pairs = [F.lit(v) for pair in sorted(enums[enum].items()) for v in pair]
-            decoded[column] = F.create_map(*pairs)[F.col(column).cast("int")]
+            decoded[column] = F.create_map(*pairs)[F.col(column).try_cast("int")]
     return df.withColumns(decoded) if decoded else df
 
 
@@ -71,9 +71,9 @@ def decode_enums_by_table(
         if column not in order:
             continue
         names = dim.where(F.col("enum") == enum).select(
-            F.col("code").cast("int").alias("_code"), F.col("name").alias("_name")
+            F.col("code").try_cast("int").alias("_code"), F.col("name").alias("_name")
         )
-        coded = df.withColumn("_code", F.col(column).cast("int")).drop(column)
+        coded = df.withColumn("_code", F.col(column).try_cast("int")).drop(column)
         joined = bounded_join(coded, names, "_code", "left", broadcast)
         df = joined.withColumnRenamed("_name", column).select(*order)
     return df

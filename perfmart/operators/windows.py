@@ -63,7 +63,7 @@ def assign_chunks(
     to the run date; no range join is needed.
     """
     days = chunk_days(lookback, tasks, chunks)
-    back = F.datediff(F.lit(run_date).cast("date"), F.col(date_col).cast("date"))
+    back = F.datediff(F.lit(run_date).cast("date"), F.col(date_col).try_cast("date"))
     place = F.when(back.between(0, lookback - 1), F.floor(back / days))
     return df.withColumns(
         {

@@ -567,7 +567,7 @@ PLACEMENT_CHOICES = (
 )
 
 # Raw fields that hold the location of a row, by level.  All but the country are
-# resource names: a prefix of 19 characters, then an id of at most 7 digits.
+# resource names: a prefix of 19 characters, then the id.
 LOCATION_FIELDS = {
     "city": "segments_geo_target_city",
     "country": "geographic_view_country_criterion_id",
@@ -576,7 +576,20 @@ LOCATION_FIELDS = {
     "region": "segments_geo_target_region",
 }
 LOCATION_PREFIX_LENGTH = 19
-LOCATION_ID_LENGTH = 7
+
+# The parts of a record: every raw field begins with one of them.
+RECORD_PARTS = (
+    "ad_group_",
+    "bidding_strategy_",
+    "campaign_",
+    "customer_",
+    "dynamic_search_ads_search_term_view_",
+    "geographic_view_",
+    "metrics_",
+    "paid_organic_search_term_view_",
+    "search_term_view_",
+    "segments_",
+)
 
 # Record fields that arrive as enum codes, and the enum that names the codes.
 ENUM_FIELDS = {

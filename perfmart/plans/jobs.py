@@ -14,15 +14,26 @@ from perfmart.operators.lookup import dims_fit
 from perfmart.operators.project import project
 from perfmart.operators.quality import input_readiness, missing_dates
 from perfmart.operators.records import flatten_records, raw_name, source_filter, stringify
-from perfmart.operators.windows import assign_chunks, lookback_of, window_bounds
-from perfmart.plans.columns import ENUM_FIELDS
-from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, PERFORMANCE_SLICES, ReportSpec
+from perfmart.operators.windows import (
+    assign_chunks,
+    date_chunks,
+    lookback_of,
+    run_date_of,
+    window_bounds,
+)
+from perfmart.plans.columns import ENUM_FIELDS, RECORD_PARTS
+from perfmart.plans.reports import (
+    BACKFILLS,
+    CONVERSION_SLICES,
+    PERFORMANCE_SLICES,
+    ReportSpec,
+    Window,
+)
 from perfmart.session import tuned
 from perfmart.sources import tables
 from perfmart.sources.raw import read_mart, read_raw
 
 DAILY_LOOKBACK = 30
-MONTHLY_LOOKBACK = 90
 CONSOLIDATION_LOOKBACK = 100
 
 
@@ -97,8 +108,13 @@ def ingest(
     """Nested records to one run of the raw extract.
 
     ``decode`` takes the flat records and the enum of each column; pass
-    ``decode_enums`` or ``decode_enums_by_table`` with its enums filled in.
+    ``decode_enums`` or ``decode_enums_by_table`` with its enums filled in.  A field
+    that the records lack was not set in any of them and becomes ``'None'``; one that no
+    record can have is an error of the spec.
     """
+    unknown = [f for f in spec.raw_fields if not f.startswith(RECORD_PARTS)]
+    if unknown:
+        raise ValueError(f"{spec.name}: no record has the fields {', '.join(unknown)}")
     window = spec.monthly if monthly else spec.daily
     lookback = lookback_of(window)
     flat = flatten_records(records)
@@ -113,14 +129,22 @@ def ingest(
     tables.write_run(placed.select(*spec.raw_fields, chunk.alias("chunk")), path, run_date)
 
 
-def check_dates(raw: DataFrame, spec: ReportSpec, run_date: str, lookback: int) -> None:
-    """Fail naming the dates of the window that the run has no rows for."""
+def check_dates(
+    raw: DataFrame, spec: ReportSpec, run_date: str, lookback: int, window: Window | None = None
+) -> None:
+    """Fail naming the dates of the window that the run has no rows for.
+
+    With the fetch window that the run was made with, each gap comes with the task and
+    chunk that has to be fetched again.
+    """
     if not spec.check_dates:
         return
     start, end = window_bounds(run_date, lookback)
-    gaps = [str(r["date"]) for r in missing_dates(raw, "segments_date", start, end).collect()]
+    chunks = window and date_chunks(raw.sparkSession, run_date, lookback, window.tasks, window.chunks)
+    gaps = missing_dates(raw, "segments_date", start, end, chunks).collect()
     if gaps:
-        raise IncompleteData(f"{spec.name}: no data for {', '.join(sorted(gaps))}")
+        places = sorted(f"{r['date']} ({r['task']}-{r['chunk']})" if window else str(r["date"]) for r in gaps)
+        raise IncompleteData(f"{spec.name}: no data for {', '.join(places)}")
 
 
 def load_report(
@@ -132,10 +156,11 @@ def load_report(
     dims: dict[str, DataFrame] | None = None,
     inclusive_start: bool = False,
     guard_null_keys: bool = True,
+    window: Window | None = None,
 ) -> None:
     """Check a run, merge it into the published table and replace its dates."""
     raw = read_raw(spark, spec, store.raw_path(spec), run_date)
-    check_dates(raw, spec, run_date, lookback)
+    check_dates(raw, spec, run_date, lookback, window)
     mart = read_mart(spark, spec, store.mart_path(spec))
     merged = run_report(
         raw, mart, spec, run_date, lookback, inclusive_start, dims, guard_null_keys
@@ -144,16 +169,41 @@ def load_report(
         tables.overwrite_partitions(merged, store.mart_path(spec))
 
 
+def load_scheduled(
+    spark: SparkSession,
+    spec: ReportSpec,
+    store: Store,
+    schedule_date: str,
+    monthly: bool = False,
+    dims: dict[str, DataFrame] | None = None,
+) -> None:
+    """The load of a schedule date: run date, window and chunks are those of the spec.
+
+    A report that is fetched some days late is loaded for the run date it was fetched
+    for; the monthly load restates the spec's longer window.
+    """
+    window = spec.monthly if monthly else spec.daily
+    run_date = run_date_of(schedule_date, spec.run_lag_days)
+    load_report(spark, spec, store, run_date, lookback_of(window), dims, window=window)
+
+
 def load_backfill(
     spark: SparkSession,
     name: str,
     store: Store,
     run_date: str,
     dims: dict[str, DataFrame] | None = None,
+    lookback: int | None = None,
 ) -> None:
-    """Write one run of a backfill report."""
+    """Check one run of a backfill report and write it.
+
+    ``lookback`` are the days that the run was asked for, by default the spec's window.
+    The two variants of a report (``ads_ad_hoc``, ``paid_organic_temp``) write to the
+    folder of their report, as published.
+    """
     spec = BACKFILLS[name]
     raw = read_raw(spark, spec, store.raw_path(spec), run_date)
+    check_dates(raw, spec, run_date, lookback or lookback_of(spec.daily))
     rows = backfill_report(raw, spec, run_date, dims)
     with tuned(spark, spec):
         tables.overwrite_partitions(rows, store.backfill_path(spec))

@@ -93,9 +93,20 @@ class ReportSpec:
         return T.StructType([T.StructField(f, T.StringType()) for f in [*self.raw_fields, "data_date"]])
 
     def backfill(self) -> ReportSpec:
-        """The same report as the backfill writes it."""
+        """The same report as the backfill writes it.
+
+        A backfill is fetched in one task and one chunk whatever the daily feed's split,
+        and its dates are always checked.
+        """
         kept = tuple(c for c in self.columns if c.name not in self.backfill_drops)
-        return replace(self, columns=kept, backfill_drops=())
+        return replace(
+            self,
+            columns=kept,
+            backfill_drops=(),
+            daily=Window(1, 1, 30),
+            monthly=Window(1, 1, 90),
+            check_dates=True,
+        )
 
 
 def _columns(text: str) -> tuple[Column, ...]:
@@ -143,7 +154,7 @@ PERFORMANCE_SLICES: dict[str, ReportSpec] = {
         _performance("age", "ad_group_criterion_age_range_type_", **_SPLIT),
         _performance("gender", "ad_group_criterion_gender_type_", **_SPLIT),
         _performance("user", AUDIENCE),
-        _performance("topic", "topic_path", check_dates=False),
+        _performance("topic", "ad_group_criterion_topic_path", check_dates=False),
         _performance("webpage", "ad_group_criterion_webpage_criterion_name", CRITERIA_WIDE),
         _performance("keyword_criteria", "ad_group_criterion_keyword_text", CRITERIA_WIDE, **_SPLIT),
         _performance(

@@ -78,11 +78,12 @@ def insert_partitions(df: DataFrame, table: str, by: str = "data_date") -> None:
         cluster_for_write(df, by).write.mode("overwrite").insertInto(table)
 
 
-def add_partition(spark: SparkSession, table: str, run_date: str) -> None:
-    """Register a run's partition of a catalog table unless it is there."""
+def add_partition(spark: SparkSession, table: str, value: str, by: str = "data_date") -> None:
+    """Register a partition of a catalog table unless it is there."""
     spark.sql(
-        f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (data_date = :run_date)",
-        args={"run_date": run_date},
+        "ALTER TABLE IDENTIFIER(:table) ADD IF NOT EXISTS PARTITION "
+        f"(`{by.replace('`', '``')}` = :value)",
+        args={"table": table, "value": value},
     )
 
 
@@ -92,14 +93,14 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
 
 
 def write_run(df: DataFrame, path: str, run_date: str) -> None:
-    """Replace one run of a raw extract.
+    """Replace one run of a raw extract, each chunk in few, full files.
 
     ``df`` has a ``chunk`` column, the part of the run that fetched the row.  The
     run's folder is overwritten as a whole, so a rerun never leaves old rows,
     even where it fetches nothing.
     """
     (
-        df.drop("data_date")
+        cluster_for_write(df.drop("data_date"), "chunk")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("chunk")

@@ -10,7 +10,7 @@ from conftest import rows
 from perfmart.operators.records import decode_enums
 from perfmart.plans import jobs
 from perfmart.plans.columns import ENUM_FIELDS
-from perfmart.plans.reports import CONVERSION_SLICES, REPORTS
+from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, REPORTS, Window
 from perfmart.sources import tables
 from perfmart.sources.raw import read_mart, read_raw
 from test_operators import raw_rows
@@ -127,7 +127,7 @@ def test_missing_dates_block_the_load(spark, store):
 
 def test_backfill_keeps_copies_and_carries_nothing(spark, store):
     put_run(spark, CONV, store, RUN, day(RUN, "1"), day(RUN, "1"))
-    jobs.load_backfill(spark, "age_conv", store, RUN)
+    jobs.load_backfill(spark, "age_conv", store, RUN, lookback=1)
     stored = read_mart(spark, CONV, store.backfill_path(CONV))
     assert rows(stored, "external_customer_id", "data_date") == [(1, RUN), (1, RUN)]
 
@@ -170,3 +170,38 @@ def test_ingest_records(spark, store):
     jobs.load_report(spark, replace(spec, check_dates=False), store, RUN)
     assert min(d for _, d in published(spark, spec, store)) == "2020-01-02"
     assert dt.date.fromisoformat(RUN) - dt.date(2020, 1, 2) == dt.timedelta(29)
+
+
+def test_topic_path_arrives_in_the_criteria(spark, store):
+    spec = REPORTS["topic"]
+    nested = spark.createDataFrame([(RUN, ["a", "b"], 2, "g")], "day string, path array<string>, status int, name string").selectExpr(
+        "struct(status, 5 as id) as campaign",
+        "struct(status, 5 as id, name) as ad_group",
+        "struct(status, 7 as criterion_id, struct(path) as topic) as ad_group_criterion",
+        "struct(day as date) as segments",
+        "struct(1 as id) as customer",
+    )
+    names = {enum: {2: "ENABLED"} for enum in ENUM_FIELDS.values()}
+    jobs.ingest(nested, spec, lambda df, fields: decode_enums(df, names, fields), store.raw_path(spec), RUN)
+    raw = read_raw(spark, spec, store.raw_path(spec), RUN)
+    assert rows(jobs.backfill_report(raw, spec, RUN), "criteria") == [('["a","b"]',)]
+    with pytest.raises(ValueError, match="topic_path"):
+        jobs.ingest(nested, replace(spec, criteria="topic_path"), None, store.raw_path(spec), RUN)
+
+
+def test_backfill_waits_for_all_dates(spark, store):
+    spec = BACKFILLS["topic_conv"]
+    put_run(spark, spec, store, RUN, day(RUN, "1"), day("2020-01-29", "1"))
+    with pytest.raises(jobs.IncompleteData, match="2020-01-30"):
+        jobs.load_backfill(spark, "topic_conv", store, RUN, lookback=3)
+    jobs.load_backfill(spark, "topic_conv", store, RUN, lookback=1)
+
+
+def test_scheduled_load_takes_lag_and_window_from_the_spec(spark, store):
+    spec = replace(CONV, run_lag_days=2, monthly=Window(2, 1, 2), check_dates=True)
+    put_run(spark, spec, store, "2020-01-31", *[day(f"2020-01-{d}", "1") for d in (28, 29, 31)])
+    with pytest.raises(jobs.IncompleteData, match=r"2020-01-30 \(0-0\)"):
+        jobs.load_scheduled(spark, spec, store, "2020-02-02", monthly=True)
+    put_run(spark, spec, store, "2020-01-31", *[day(f"2020-01-{d}", "1") for d in (28, 29, 30, 31)])
+    jobs.load_scheduled(spark, spec, store, "2020-02-02", monthly=True)
+    assert len(published(spark, spec, store)) == 4

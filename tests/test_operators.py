@@ -11,6 +11,7 @@ from perfmart.operators.carry import KeyProfile, carry_forward, merge_distinct,
 from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import dims_fit, lookup_names
 from perfmart.operators.project import location_keys, project
+from perfmart.operators.windows import assign_chunks
 from perfmart.plans.reports import BACKFILLS, REPORTS
 
 RUN = "2020-01-31"
@@ -113,6 +114,19 @@ def test_locations_must_resolve_at_every_level(spark, id_type, broadcast):
     ]
 
 
+def test_long_location_ids_are_read_whole(spark):
+    field = location_keys()["city"]
+    df = spark.createDataFrame([("geoTargetConstants/10231915",)], "segments_geo_target_city string")
+    dim = spark.createDataFrame([(1023191, "short"), (10231915, "long")], "id bigint, cannonicalname string")
+    for broadcast in (True, False):
+        assert rows(lookup_names(df, {"city": dim}, {"city": field}, broadcast), "city_name") == [("long",)]
+
+
+def test_dates_that_are_no_dates_get_no_chunk(spark):
+    df = spark.createDataFrame([("2020-01-3x",), (RUN,)], "d string")
+    assert rows(assign_chunks(df, "d", RUN, 30, 1, 2), "task", "chunk") == [(0, 0), (None, None)]
+
+
 def test_repeated_dimension_ids_multiply_rows_in_both_ways(spark):
     df = spark.createDataFrame([("5",)] * 3, "k string")
     dim = spark.createDataFrame([(5, "a"), (5, "b")], "id bigint, cannonicalname string")
@@ -125,7 +139,7 @@ def test_repeated_dimension_ids_multiply_rows_in_both_ways(spark):
 def test_size_checks(spark):
     assert joins.fits(spark.range(10), 10) and not joins.fits(spark.range(11), 10)
     dims = {"a": spark.range(6), "b": spark.range(5)}
-    assert dims_fit(dims, 11) and not dims_fit(dims, 10)
+    assert all(dims_fit(dims, 11).values()) and not all(dims_fit(dims, 1).values())
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])

@@ -48,7 +48,19 @@ def test_decode_by_map_and_by_table(spark, max_rows):
     dim = spark.createDataFrame([("Status", 2, "ENABLED"), ("Other", 9, "x")], "enum string, code int, name string")
     by_table = decode_enums_by_table(df, dim, fields, max_rows)
     assert rows(by_map) == rows(by_table) == [(1, "ENABLED"), (2, None), (3, None)]
-    assert rows(quality.decode_loss_counts(df, by_map, ["campaign_status"])) == [("campaign_status", 1)]
+    name = lambda d: decode_enums(d, {"Status": {2: "ENABLED", 3: "PAUSED"}}, fields)
+    assert rows(quality.decode_loss_counts(df, name, ["campaign_status"])) == [("campaign_status", 1)]
+
+
+def test_codes_that_are_no_numbers_lose_their_name_only(spark):
+    df = spark.createDataFrame([("2",), ("two",), (None,)], "campaign_status string")
+    fields = {"campaign_status": "Status"}
+    dim = spark.createDataFrame([("Status", "2", "ENABLED"), ("Status", "x", "y")], "enum string, code string, name string")
+    want = [("ENABLED",), (None,), (None,)]
+    assert rows(decode_enums(df, {"Status": {2: "ENABLED"}}, fields)) == want
+    assert rows(decode_enums_by_table(df, dim, fields)) == want
+    name = lambda d: decode_enums(d, {"Status": {2: "ENABLED"}}, fields)
+    assert rows(quality.decode_loss_counts(df, name, ["campaign_status"])) == [("campaign_status", 1)]
 
 
 def test_float_text_is_that_of_the_extract(spark):

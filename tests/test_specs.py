@@ -1,8 +1,8 @@
 import pytest
 
 from perfmart.operators.windows import chunk_days, lookback_of
-from perfmart.plans.columns import ENUM_FIELDS
-from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, PERFORMANCE_SLICES, REPORTS
+from perfmart.plans.columns import ENUM_FIELDS, RECORD_PARTS
+from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, PERFORMANCE_SLICES, REPORTS, Window
 
 WIDTHS = {
     "ad_conv": 10, "ads": 85, "campaign": 108, "geo": 55, "keyword": 83, "keywordless": 33,
@@ -55,3 +55,14 @@ def test_skipped_checks_and_enums():
         "topic", "placement", "topic_conv", "placement_conv"
     }
     assert len(ENUM_FIELDS) == 32 and len(set(ENUM_FIELDS.values())) == 28
+
+
+def test_raw_fields_are_parts_of_a_record():
+    for spec in [*REPORTS.values(), *BACKFILLS.values()]:
+        assert all(f.startswith(RECORD_PARTS) for f in spec.raw_fields), spec.name
+    assert REPORTS["topic"].criteria == "ad_group_criterion_topic_path"
+
+
+def test_backfills_are_fetched_in_one_piece_and_checked():
+    for spec in BACKFILLS.values():
+        assert (spec.daily, spec.monthly, spec.check_dates) == (Window(1, 1, 30), Window(1, 1, 90), True)
