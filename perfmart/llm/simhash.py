@@ -232,7 +232,9 @@ def groups(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
 def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Per document: doc_id, fingerprint in hex, component_id."""
     rows = staged(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "_fp"), "simhash")
-    return rows.join(groups(rows, radius), "_fp").select("doc_id", as_hex(F.col("_fp")).alias("fingerprint"), "component_id")
+    # Staged, so that this join reads plain shuffles, of which large ones can be split.
+    decided = staged(groups(rows, radius), "simhash-groups")
+    return rows.join(decided, "_fp").select("doc_id", as_hex(F.col("_fp")).alias("fingerprint"), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
