@@ -242,5 +242,10 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     marked = with_fingerprints(docs)
     rows = staged(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "_fp"), "simhash")
     winners = groups(rows, radius).select(F.col("component_id").alias("_id"), F.col("_first_fp")).distinct()
-    kept = marked.join(winners, (marked["_fp"] == winners["_first_fp"]) & marked["doc_id"].eqNullSafe(winners["_id"]), "left_semi")
-    return kept.dropDuplicates(["_fp", "doc_id"]).select(*docs.columns)
+    # One hash of both columns is the only key of the join, and the distinct keeps to it (the
+    # exact comparison stands in a CASE, which is no key): the texts are shuffled once.
+    marked = marked.withColumn("_key", F.xxhash64("_fp", "doc_id"))
+    winners = staged(winners.withColumn("_winner", F.xxhash64("_first_fp", "_id")), "simhash-winners")
+    same = (marked["_fp"] == winners["_first_fp"]) & marked["doc_id"].eqNullSafe(winners["_id"])
+    kept = marked.join(winners, (marked["_key"] == winners["_winner"]) & F.when(same, True).otherwise(False), "left_semi")
+    return kept.dropDuplicates(["_key", "_fp", "doc_id"]).select(*docs.columns)
