@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,14 @@ from perfmart.operators.carry import carry_forward, in_window, merge_distinct
 from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import lookup_names
 from perfmart.operators.project import criteria_text, drop_header_rows, location_keys, project
-from perfmart.plans.jobs import Store, backfill_report, load_report, run_report
+from perfmart.plans.jobs import (
+    IncompleteData,
+    Store,
+    backfill_report,
+    check_dates,
+    load_report,
+    run_report,
+)
 from perfmart.plans.reports import (
     AUDIENCE,
     BACKFILLS,
@@ -30,7 +37,7 @@ from perfmart.plans.reports import (
 )
 from perfmart.session import tune
 from perfmart.sources import tables
-from perfmart.sources.raw import read_mart
+from perfmart.sources.raw import read_accounts, read_location_dims, read_mart, read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,6 +176,21 @@ def _(t):
     )
 
 
+@query(
+    "nested_source_filter",
+    "SELECT l_partkey AS campaign_id, l_linenumber + 1 AS campaign_status, "
+    "cast(cast(l_shipdate AS DATE) AS VARCHAR) AS segments_date FROM lineitem "
+    f"WHERE cast(l_shipdate AS DATE) BETWEEN DATE '{START}' AND DATE '{RUN_DATE}' AND l_linenumber + 1 IN (2, 3, 4)",
+)
+def _(t):
+    # The records as files of a columnar source; 2, 3 and 4 are the reported statuses' codes.
+    path, delivered = scratch_path(t.spark, "records"), nested(t)
+    delivered.write.parquet(path)
+    stored = read_records(t.spark, delivered.schema, path, "parquet")
+    kept = records.record_filter(stored, CAMPAIGN, RUN_DATE, LOOKBACK, (2, 3, 4))
+    return records.flatten_records(kept, ["campaign.id", "campaign.status", "segments.date"])
+
+
 # --- joins -------------------------------------------------------------------
 
 _LEVELS = ("city", "country", "metro", "most_specific", "region")
@@ -191,6 +213,22 @@ def _(t):
     )
 
 
+@query(
+    "location_dims_scan",
+    " UNION ALL ".join(
+        f"SELECT '{level}' AS level, cast({key} AS BIGINT) AS id, {name} AS cannonicalname FROM {table}"
+        for level, (table, key, name) in views.DIMS.items()
+    ),
+)
+def _(t):
+    paths = {}
+    for level, dim in views.location_dims(t).items():
+        paths[level] = scratch_path(t.spark, level)
+        dim.withColumn("id", F.col("id").cast("bigint")).write.parquet(paths[level])
+    dims = read_location_dims(t.spark, paths)
+    return reduce(DataFrame.union, [dim.select(F.lit(level).alias("level"), "id", "cannonicalname") for level, dim in dims.items()])
+
+
 def _carry_sql(batch: str, start: str = START) -> str:
     return (
         f"WITH fresh AS ({batch}), mart AS ({oracle.history(CONV)}) "
@@ -454,6 +492,24 @@ def _(t):
     )
 
 
+@query(
+    "completeness_opt_out",
+    f"WITH d AS ({_DATES_SQL}) SELECT feed, feed <> 'topic' AND (SELECT count(*) FROM d WHERE d BETWEEN DATE '{START}' "
+    f"AND DATE '{RUN_DATE}') < {LOOKBACK} AS refused FROM (SELECT unnest(['age', 'topic', 'campaign']) AS feed)",
+)
+def _(t):
+    # Topic reports may have gaps; a gap in any other keeps it from being published.
+    def refused(spec: ReportSpec) -> bool:
+        try:
+            check_dates(views.raw_all(t, spec), spec, RUN_DATE, LOOKBACK)
+        except IncompleteData:
+            return True
+        return False
+
+    feeds = [(name, refused(REPORTS[name])) for name in ("age", "topic", "campaign")]
+    return t.spark.createDataFrame(feeds, "feed string, refused boolean")
+
+
 @query("distinct_dates", "SELECT DISTINCT cast(ts AS DATE) AS date FROM events")
 def _(t):
     return quality.distinct_dates(t["events"], "ts")
@@ -518,10 +574,13 @@ _CUSTOMER_ACCOUNTS = (
 
 
 def _accounts(t: Tables) -> DataFrame:
-    return t["customer"].select(
+    """The account list as it is stored, read back."""
+    path = scratch_path(t.spark, "accounts")
+    t["customer"].select(
         F.col("c_custkey").cast("string").alias("account_id"),
         F.when(F.col("c_acctbal") >= 0, "2").otherwise("3").alias("status"),
-    )
+    ).write.parquet(path)
+    return read_accounts(t.spark, path)
 
 
 @query(
@@ -570,22 +629,69 @@ def _(t):
     return read_mart(t.spark, CONV, path)
 
 
+def _new_table(t: Tables, name: str) -> tuple[str, str]:
+    """A catalog table's name and its path."""
+    path = scratch_path(t.spark, name)
+    return path.rsplit("/", 1)[1].replace("-", "_"), path
+
+
+def _contents(t: Tables, table: str) -> DataFrame:
+    """What the catalog shows of a table, written apart; the table leaves the catalog."""
+    shown, path = t.spark.table(table), scratch_path(t.spark, "contents")
+    shown.write.parquet(path)
+    t.spark.sql("DROP TABLE IDENTIFIER(:table)", args={"table": table})
+    return t.spark.read.schema(shown.schema).parquet(path)
+
+
 @query("saveastable_window_overwrite", _REVISED_SQL)
 def _(t):
-    path = scratch_path(t.spark, "consolidated")
-    table = path.rsplit("/", 1)[1].replace("-", "_")
+    table, path = _new_table(t, "consolidated")
     tables.overwrite_table(views.mart_history(t, CONV, monthly=True), table, path)
     tables.overwrite_table(_revised(t), table, path)
-    return t.spark.table(table)
+    return _contents(t, table)
 
 
 @query("insert_into_overwrite", _REVISED_SQL)
 def _(t):
-    path = scratch_path(t.spark, "inserted")
-    table = path.rsplit("/", 1)[1].replace("-", "_")
+    table, path = _new_table(t, "inserted")
     tables.overwrite_table(views.mart_history(t, CONV, monthly=True), table, path)
     tables.insert_partitions(_revised(t), table)
-    return t.spark.table(table)
+    return _contents(t, table)
+
+
+def _partly_registered(t: Tables, name: str) -> str:
+    """A table whose later months were written by path, past the catalog."""
+    table, path = _new_table(t, name)
+    history = views.mart_history(t, CONV, monthly=True)
+    tables.overwrite_table(history.where(F.col("data_date") < _SPLIT_DATE), table, path)
+    tables.overwrite_partitions(history.where(F.col("data_date") >= _SPLIT_DATE), path)
+    return table
+
+
+@query("add_partition", f"SELECT * FROM ({_MONTHLY_HISTORY}) WHERE data_date <= '{_SPLIT_DATE}'")
+def _(t):
+    # Of the months that the catalog does not know, one is registered, twice.
+    table = _partly_registered(t, "registered")
+    for _ in range(2):
+        tables.add_partition(t.spark, table, _SPLIT_DATE)
+    return _contents(t, table)
+
+
+@query("recover_partitions", f"SELECT * FROM ({_MONTHLY_HISTORY})")
+def _(t):
+    table = _partly_registered(t, "recovered")
+    tables.recover_partitions(t.spark, table)
+    return _contents(t, table)
+
+
+@query("empty_run_writes_nothing", f"SELECT * FROM ({_MONTHLY_HISTORY})")
+def _(t):
+    # The second run has no rows: it leaves no file, and the published months as they are.
+    path = scratch_path(t.spark, "mart")
+    history = views.mart_history(t, CONV, monthly=True)
+    tables.overwrite_partitions(history, path)
+    tables.overwrite_partitions(history.where(F.col("data_date").isNull()), path)
+    return read_mart(t.spark, CONV, path)
 
 
 @query(

@@ -21,7 +21,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -128,6 +128,21 @@ def stringify(df: DataFrame) -> DataFrame:
     )
 
 
+def record_filter(
+    df: DataFrame, spec: ReportSpec, run_date: str, lookback: int, reported: Collection[int]
+) -> DataFrame:
+    """The same rows as ``source_filter``, of nested records that still hold codes.
+
+    ``reported`` are the codes of the reported statuses.  The conditions compare fields
+    with literals, so a columnar source applies them in its scan.
+    """
+    paths = {raw_name(p): F.col(p) for p in _leaves(df.schema)}
+    kept = paths["segments_date"].between(*window_bounds(run_date, lookback))
+    for status in spec.statuses:
+        kept = kept & paths[status].isin(*sorted(reported))
+    return df.where(kept)
+
+
 def source_filter(df: DataFrame, spec: ReportSpec, run_date: str, lookback: int) -> DataFrame:
     """Rows the source would report: dates of the window, known statuses only.
 

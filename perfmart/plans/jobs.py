@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +13,13 @@ from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import dims_fit
 from perfmart.operators.project import project
 from perfmart.operators.quality import input_readiness, missing_dates
-from perfmart.operators.records import flatten_records, raw_name, source_filter, stringify
+from perfmart.operators.records import (
+    flatten_records,
+    raw_name,
+    record_filter,
+    source_filter,
+    stringify,
+)
 from perfmart.operators.windows import (
     assign_chunks,
     date_chunks,
@@ -104,22 +110,27 @@ def ingest(
     path: str,
     run_date: str,
     monthly: bool = False,
+    reported: Collection[int] | None = None,
 ) -> None:
     """Nested records to one run of the raw extract.
 
     ``decode`` takes the flat records and the enum of each column; pass
     ``decode_enums`` or ``decode_enums_by_table`` with its enums filled in.  A field
     that the records lack was not set in any of them and becomes ``'None'``; one that no
-    record can have is an error of the spec.
+    record can have is an error of the spec.  With ``reported``, the codes of the reported
+    statuses, rows are chosen before anything is decoded.
     """
     unknown = [f for f in spec.raw_fields if not f.startswith(RECORD_PARTS)]
     if unknown:
         raise ValueError(f"{spec.name}: no record has the fields {', '.join(unknown)}")
     window = spec.monthly if monthly else spec.daily
     lookback = lookback_of(window)
+    if reported is not None:
+        records = record_filter(records, spec, run_date, lookback, reported)
     flat = flatten_records(records)
-    decoded = decode(flat, {raw_name(f): enum for f, enum in ENUM_FIELDS.items()})
-    wanted = source_filter(decoded, spec, run_date, lookback)
+    wanted = decode(flat, {raw_name(f): enum for f, enum in ENUM_FIELDS.items()})
+    if reported is None:
+        wanted = source_filter(wanted, spec, run_date, lookback)
     absent = {f: F.lit(None).cast("string") for f in spec.raw_fields if f not in wanted.columns}
     rows = stringify(wanted.withColumns(absent).select(*spec.raw_fields))
     placed = assign_chunks(

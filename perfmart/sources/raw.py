@@ -46,6 +46,9 @@ def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("account_id string, status string").parquet(path)
 
 
-def read_records(spark: SparkSession, schema: T.StructType | str, path: str) -> DataFrame:
-    """Nested report records, one JSON object per line."""
-    return spark.read.schema(schema).json(path)
+def read_records(spark: SparkSession, schema: T.StructType | str, path: str, source: str = "json") -> DataFrame:
+    """Nested report records: JSON objects, one per line, or files of another source.
+
+    From Parquet only the nested fields in use are read, and conditions on them reach the scan.
+    """
+    return spark.read.schema(schema).format(source).load(path)

@@ -61,7 +61,11 @@ def test_catalog_writes_restore_the_session_mode(spark, tmp_path):
     tables.add_partition(spark, "catalog_t", "2020-01-03")
     tables.add_partition(spark, "catalog_t", "2020-01-03")
     assert spark.sql("SHOW PARTITIONS catalog_t").count() == 3
+    late = first.where("v = 1").withColumn("data_date", F.lit("2020-01-04"))
+    tables.overwrite_partitions(late, str(tmp_path / "t"))
+    assert (1, "2020-01-04") not in rows(spark.table("catalog_t"))
     tables.recover_partitions(spark, "catalog_t")
+    assert (1, "2020-01-04") in rows(spark.table("catalog_t"))
     spark.sql("DROP TABLE catalog_t")
 
 
@@ -115,6 +119,16 @@ def test_null_account_is_refused(spark, store):
     assert published(spark, CONV, store) == [(1, RUN), (None, RUN)]
 
 
+def test_empty_run_writes_nothing(spark, store):
+    put_run(spark, CONV, store, RUN, day(RUN, "1"))
+    jobs.load_backfill(spark, "age_conv", store, RUN, lookback=1)
+    empty = read_mart(spark, CONV, store.backfill_path(CONV)).where("FALSE")
+    tables.overwrite_partitions(empty, store.backfill_path(CONV))
+    tables.overwrite_partitions(empty, store.mart_path(CONV))
+    assert read_mart(spark, CONV, store.backfill_path(CONV)).count() == 1
+    assert published(spark, CONV, store) == []
+
+
 def test_missing_dates_block_the_load(spark, store):
     spec = REPORTS["age_conv"]
     put_run(spark, spec, store, RUN, day(RUN, "1"), day("2020-01-29", "1"))
@@ -163,6 +177,9 @@ def test_ingest_records(spark, store):
     jobs.ingest(nested, spec, decode, store.raw_path(spec), RUN)
     raw = read_raw(spark, spec, store.raw_path(spec), RUN)
     assert raw.count() == 29  # 30 dates, one of them of an unknown status
+    by_code = store.raw_path(spec) + "-by-code"
+    jobs.ingest(nested, spec, decode, by_code, RUN, reported=(2, 3, 4))
+    assert rows(read_raw(spark, spec, by_code, RUN)) == rows(raw)
     [row] = raw.where(F.col("segments_date") == RUN).collect()
     assert (row["segments_device"], row["metrics_conversions"], row["ad_group_criterion_type_"]) == (
         "TABLET", "2.0", "None"

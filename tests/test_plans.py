@@ -5,10 +5,11 @@ import re
 import pytest
 
 from perfmart.operators.project import project
+from perfmart.operators.records import flatten_records, record_filter
 from perfmart.plans.jobs import Store, run_report
 from perfmart.plans.reports import REPORTS
 from perfmart.sources import tables
-from perfmart.sources.raw import read_mart, read_raw
+from perfmart.sources.raw import read_mart, read_raw, read_records
 from test_jobs import RUN, day, put_run
 
 SPEC = REPORTS["age_conv"]
@@ -43,6 +44,20 @@ def test_key_profile_reads_only_the_key_and_the_sentinel(stored):
     assert "ReadSchema: struct<segments_ad_network_type:string,customer_id:string>" in text
 
 
+def test_conditions_on_nested_records_reach_the_scan(spark, tmp_path):
+    made = spark.range(3).selectExpr(
+        "struct(cast(id as int) as status, id, 'x' as name) as campaign", f"struct('{RUN}' as date, id as device) as segments"
+    )
+    made.write.parquet(str(tmp_path / "records"))
+    stored = read_records(spark, made.schema, str(tmp_path / "records"), "parquet")
+    kept = flatten_records(record_filter(stored, REPORTS["campaign"], RUN, 30, (2, 3, 4)), ["campaign.id"])
+    text = plan(kept)
+    pushed = re.search(r"PushedFilters: \[(.*?)\], ReadSchema", text).group(1)
+    assert "campaign.status" in pushed and "segments.date" in pushed
+    assert "ReadSchema: struct<campaign:struct<status:int,id:bigint>,segments:struct<date:string>>" in text
+    assert kept.count() == 1
+
+
 def test_writes_are_rebalanced_by_date(stored):
     _, mart = stored
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(tables.cluster_for_write(mart))
