@@ -9,8 +9,8 @@ that it also judges where the labellers are silent.
 The votes of all documents are summed by pattern (at most 3^LABELLERS rows); the linear
 model is trained on a bounded sample.
 
-Edge cases: a null or empty text scores 0 and is not kept; repeated rows score equally; an
-empty table gives an empty one.
+Edge cases: a null or empty text scores 0 and is not kept; repeated rows score equally;
+rows without an id are drawn by their text alone; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from perfmart.llm.subwords import byte_table, grams
 
 MARKS = "#*$%&|<>!"
 BITS = 15
-#: Texts that train the linear model, by the hash of their id (expected number).
+#: Texts that train the linear model, by the hash of their id and text (expected number, twice as many at most).
 SAMPLE = 6000
 #: Passes over the sample; a small sample gets more, for so many steps at least.
 EPOCHS = 8
@@ -198,9 +198,11 @@ def fit(docs: DataFrame, size: int = SAMPLE) -> tuple[Labels, Scorer] | None:
     counts = np.array([r["count"] for r in counted], float)
     labels = estimate(numbers[:, None] // 3 ** np.arange(LABELLERS) % 3 - 1, counts)
     share = min(1.0, size / counts.sum())
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
     examples = []
     for r in docs.filter(draw < share).select("text").filter("text <> ''").toLocalIterator():
+        if len(examples) == 2 * size:  # one row very many times is drawn as a whole
+            break
         raw = np.frombuffer(r["text"].encode(), np.uint8)
         offsets = np.array([0, len(raw)])
         m = measures(raw, offsets)

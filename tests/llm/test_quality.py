@@ -63,3 +63,16 @@ def test_weak_labels_find_faults(spark, small, docs, none):
     assert len(scored) == docs.count() and all(0 <= r["score"] <= 1 for r in scored)
     assert all(not r["kept"] for r in scored if r["doc_id"] in (5, 6))
     assert quality_model.score_documents(none, quality_model.fit(none)).count() == 0
+
+
+def test_sample_stays_small_with_null_and_equal_ids(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_model, "train", lambda examples: seen.append(len(examples)))
+    texts = spark.range(2000).selectExpr("concat('plain words of a text number ', id) as text", "id")
+    quality_model.fit(texts.selectExpr("cast(null as bigint) as doc_id", "text"), size=100)
+    quality_model.fit(texts.selectExpr("7L as doc_id", "text"), size=100)
+    # One row over and over: it is drawn as a whole or not at all.
+    for word in "abcdefgh":
+        quality_model.fit(texts.selectExpr("7L as doc_id", f"'{word} b' as text"), size=500)
+    assert 40 < seen[0] <= 200 and 40 < seen[1] <= 200
+    assert max(seen[2:]) <= 1000
