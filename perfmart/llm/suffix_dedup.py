@@ -8,14 +8,16 @@ prefix and then by hashes of their surroundings, which brings equal ones togethe
 
 1. Each batch of documents gets its suffix array.  A suffix whose whole stretch of windows
    also occurs in the batch with a smaller id is settled there and not passed on, so a
-   passage that very many documents share leaves each batch once.
-2. The arrays are dealt by prefix.  Each task adds them one after another to a family of
+   passage that very many documents share leaves each batch once.  A pass before counts the
+   prefixes that are frequent in batches; those with far more than their share are hot.
+2. The arrays are dealt by prefix, those of a hot prefix by their surroundings too.  Each task adds them one after another to a family of
    levels; levels of equal size are merged, and each merge settles the suffixes whose
    stretch is in the other level with a smaller id.  What is left meets where prefix and
    at least WINDOW - PREFIX over 2 further bytes on one side agree, as they must if any
-   window does: these suffixes are asked for byte by byte.
+   window does: these suffixes are asked for byte by byte, and so are all of a hot prefix.
 3. For these, the hashes of all windows of the stretch are compared over the corpus: the
-   least document of each window.
+   least document of each window.  Those of a hot prefix are dealt window by window, and a
+   window leaves each batch once, so that no task gets all documents that share a string.
 4. The settled stretches of each document are put together, and the rest of it is kept.
 
 Hashes of 64 bits stand for strings, always two independent ones (prefix and surroundings,
@@ -33,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,13 +51,20 @@ REACH = WINDOW - PREFIX + 1
 SLICE_BYTES = 1 << 20
 #: Rows of other tasks that are made one array before they join the levels.
 ARRAY_ROWS = 1 << 17
+#: A prefix counts in a batch from this many suffixes on.
+FREQUENT = 4
+#: A prefix is hot beyond HOT_ROWS counted suffixes plus all suffixes / 2^HOT_BITS, so there are at most 2^HOT_BITS.
+HOT_ROWS = 4096
+HOT_BITS = 18
 #: Positions beside 40 bits of a hash.
 POSITION_BITS = 24
 #: A text of so many bytes goes in parts.
 LONG_BYTES = 1 << POSITION_BITS
 
-SUFFIX = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "around", "doc_id", "check", "place")] + [T.StructField("settled", T.BooleanType())])
-FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "check", "gram", "first", "last")] + [T.StructField("settled", T.BooleanType())])
+#: What a row is: a suffix or stretch in question, a settled stretch, or one in question whose prefix is hot.
+OPEN, SETTLED, HOT = 0, 1, 2
+SUFFIX = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "around", "doc_id", "check", "place")] + [T.StructField("state", T.ByteType())])
+FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "check", "gram", "first", "last")] + [T.StructField("state", T.ByteType())])
 
 
 class Prefixes:
@@ -174,36 +184,74 @@ def _joined(doc: np.ndarray, check: np.ndarray, first: np.ndarray, last: np.ndar
     return (doc[at], check[at], first[at], np.maximum.reduceat(last, at)) if len(at) else (doc, check, first, last)
 
 
+def _array(batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray] | None:
+    """The suffix array of a batch of (doc_id, check, text): suffixes, their order, and which in it the batch settles."""
+    ids, checks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    parts = []
+    for data, offsets, first_row in slices(batch.column(2), SLICE_BYTES):
+        part = stretches(data, offsets)
+        if part is not None:
+            parts.append(part | {"row": part["row"] + first_row})
+    if not parts:
+        return None
+    p = {k: np.concatenate([x[k] for x in parts]) for k in parts[0]}
+    p |= {"doc": ids[p["row"]].astype(np.int64), "check": checks[p["row"]].astype(np.int64)}
+    return p, *settle(p["gram"], p["around"], p["doc"])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "_check", F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL")
+
+
+def hot_prefixes(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The prefixes (gram) of far more suffixes than their share, at most 2^HOT_BITS of them.
+
+    Only prefixes that are frequent in a batch are counted, so what escapes has fewer than
+    FREQUENT suffixes a batch.  Which prefixes are hot decides how the work is dealt, never a result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            array = _array(batch)
+            if array is None:
+                continue
+            p, order, known = array
+            gram = p["gram"][order[~known]]
+            starts = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
+            size = np.diff(np.r_[starts, len(gram)])
+            often = size >= FREQUENT
+            grams = pa.array([*gram[starts[often]].view(np.int64).tolist(), None], pa.int64())  # null: all suffixes
+            yield pa.RecordBatch.from_arrays([grams, pa.array([*size[often].tolist(), len(gram)], pa.int64())], ["gram", "rows"])
+
+    counts = staged(_texts(docs).mapInArrow(run, "gram long, rows long").groupBy("gram").agg(F.sum("rows").alias("rows")), "prefixes")
+    total = counts.filter("gram IS NULL").first()
+    limit = hot_rows + ((total["rows"] if total else 0) >> HOT_BITS)
+    return counts.filter(F.col("gram").isNotNull() & (F.col("rows") > limit)).select("gram")
+
+
 def suffix_arrays(docs: DataFrame) -> DataFrame:
     """Each batch's suffixes that it does not settle itself, and the stretches that it does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, checks = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            parts = []
-            for data, offsets, first_row in slices(batch.column(2), SLICE_BYTES):
-                part = stretches(data, offsets)
-                if part is not None:
-                    parts.append(part | {"row": part["row"] + first_row})
-            if not parts:
+            array = _array(batch)
+            if array is None:
                 continue
-            p = {k: np.concatenate([x[k] for x in parts]) for k in parts[0]}
-            doc, check = ids[p["row"]].astype(np.int64), checks[p["row"]].astype(np.int64)
-            order, known = settle(p["gram"], p["around"], doc)
-            kept = order[~known]
+            p, order, known = array
+            doc, check, kept = p["doc"], p["check"], order[~known]
             place = (p["at"] << 16) | ((p["at"] - p["first"]) << 8) | (p["at"] - p["last"])
-            yield _suffix_rows(p["gram"][kept], p["around"][kept], doc[kept], check[kept], place[kept], False)
+            yield _suffix_rows(p["gram"][kept], p["around"][kept], doc[kept], check[kept], place[kept], OPEN)
             done = order[known]
             d, c, first, last = _joined(doc[done], check[done], p["first"][done], p["last"][done])
             # Settled stretches travel with the suffixes, dealt by document.
-            yield _suffix_rows(mix(d.view(np.uint64)), first.astype(np.uint64), d, c, last, True)
+            yield _suffix_rows(mix(d.view(np.uint64)), first.astype(np.uint64), d, c, last, SETTLED)
 
-    return docs.select("doc_id", "_check", F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL").mapInArrow(run, SUFFIX)
+    return _texts(docs).mapInArrow(run, SUFFIX)
 
 
-def _suffix_rows(gram: np.ndarray, around: np.ndarray, doc: np.ndarray, check: np.ndarray, place: np.ndarray, settled: bool) -> pa.RecordBatch:
+def _suffix_rows(gram: np.ndarray, around: np.ndarray, doc: np.ndarray, check: np.ndarray, place: np.ndarray, state: int) -> pa.RecordBatch:
     columns = [pa.array(c.view(np.int64)) for c in (gram, around)] + [pa.array(c) for c in (doc, check, place)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(doc), settled))], SUFFIX.names)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(doc), state, np.int8))], SUFFIX.names)
 
 
 Level = tuple[np.ndarray, ...]
@@ -250,23 +298,27 @@ def open_questions(level: Level) -> np.ndarray:
     return out
 
 
-def _found_rows(doc: np.ndarray, check: np.ndarray, gram: np.ndarray, first: np.ndarray, last: np.ndarray, settled: bool) -> pa.RecordBatch:
+def _found_rows(doc: np.ndarray, check: np.ndarray, gram: np.ndarray, first: np.ndarray, last: np.ndarray, state: int | np.ndarray) -> pa.RecordBatch:
     columns = [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in (doc, check, gram, first, last)]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(doc), settled))], FOUND.names)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(doc), state, np.int8))], FOUND.names)
+
 
+def match(suffixes: DataFrame, hot: DataFrame) -> DataFrame:
+    """Settled stretches of window starts, and stretches to be compared byte by byte.
 
-def match(suffixes: DataFrame) -> DataFrame:
-    """Settled stretches of window starts, and stretches to be compared byte by byte."""
+    Equal suffixes have equal surroundings, so they meet however a hot prefix is dealt.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels: list[Level] = []
         held: list[Level] = []
         for batch in batches:
             gram, around, doc, check, place = (batch.column(i).to_numpy() for i in range(5))
-            settled = batch.column(5).to_numpy(zero_copy_only=False)
+            state = batch.column(5).to_numpy()
+            settled = state == SETTLED
             if settled.any():
-                yield _found_rows(doc[settled], check[settled], gram[settled], around[settled], place[settled], True)
-            held.append(tuple(c[~settled] for c in (gram.view(np.uint64), around.view(np.uint64), doc, check, place)))
+                yield _found_rows(doc[settled], check[settled], gram[settled], around[settled], place[settled], SETTLED)
+            held.append(tuple(c[~settled] for c in (gram.view(np.uint64), around.view(np.uint64), doc, check, place, state)))
             if sum(len(x[0]) for x in held) >= ARRAY_ROWS:
                 yield from _settled(_add_rows(levels, held))
                 held = []
@@ -275,39 +327,76 @@ def match(suffixes: DataFrame) -> DataFrame:
             merge_last(levels, found)
         yield from _settled(found)
         if levels:
-            gram, _, doc, check, place = (c[open_questions(levels[0])] for c in levels[0])
+            asked = open_questions(levels[0]) | (levels[0][5] == HOT)
+            gram, _, doc, check, place, state = (c[asked] for c in levels[0])
             at = place >> 16
-            yield _found_rows(doc, check, gram, at - ((place >> 8) & 255), at - (place & 255), False)
+            yield _found_rows(doc, check, gram, at - ((place >> 8) & 255), at - (place & 255), state)
 
-    return suffixes.repartition("gram").mapInArrow(run, FOUND)
+    is_hot = (F.col("state") == OPEN) & F.col("_hot").isNotNull()
+    marked = suffixes.join(F.broadcast(hot.select("gram", F.lit(True).alias("_hot"))), "gram", "left").select(
+        *SUFFIX.names[:-1], F.when(is_hot, F.lit(HOT)).otherwise(F.col("state")).cast("byte").alias("state")
+    )
+    return marked.repartition(F.xxhash64("gram", F.when(F.col("state") == HOT, F.col("around")))).mapInArrow(run, FOUND)
 
 
 def _settled(found: list[Level]) -> Iterator[pa.RecordBatch]:
-    for _, _, doc, check, place in found:
+    for _, _, doc, check, place, _ in found:
         at = place >> 16
-        yield _found_rows(doc, check, np.zeros(len(doc), np.int64), at - ((place >> 8) & 255), at - (place & 255), True)
+        yield _found_rows(doc, check, np.zeros(len(doc), np.int64), at - ((place >> 8) & 255), at - (place & 255), SETTLED)
+
 
+WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "doc_id", "check", "first", "last")] + [T.StructField("hashes", T.ArrayType(T.LongType()))])
 
-WINDOWS = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "doc_id", "check", "first")] + [T.StructField("hashes", T.ArrayType(T.LongType()))])
+
+def _window_rows(gram, doc, check, first, last, hashes: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*map(pa.array, (gram, doc, check, first, last)), hashes], WINDOWS.names)
+
+
+def _hot_rows(hot: list[Level]) -> Iterator[pa.RecordBatch]:
+    """A row for each window, its least document in the batch; the others are settled stretches, without hashes."""
+    window, gram, doc, check, first = (np.concatenate(c) for c in zip(*hot, strict=True))
+    order, known = settle(window, gram, doc)
+    kept, rest = order[~known], order[known]
+    ones = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32)), pa.array(window[kept].view(np.int64)))
+    # Equal windows get one key, and those of one prefix different ones.
+    key = mix(gram[kept] ^ mix(window[kept])).view(np.int64)
+    yield _window_rows(key, doc[kept], check[kept], first[kept], first[kept], ones)
+    d, c, first, last = _joined(doc[rest], check[rest], first[rest], first[rest])
+    yield _window_rows(mix(d.view(np.uint64)).view(np.int64), d, c, first, last, pa.nulls(len(d), pa.list_(pa.int64())))
 
 
 def windows(docs: DataFrame, questions: DataFrame) -> DataFrame:
-    """The hashes of all windows of the stretches in question, a row for each stretch."""
-    asked = questions.groupBy("doc_id", F.col("check").alias("_check")).agg(F.collect_list(F.struct("gram", "first", "last")).alias("asked"))
+    """The hashes of all windows of the stretches in question: a row for each stretch, of a hot prefix for each window.
+
+    `gram` is the key by which equal windows meet.
+    """
+    asked = questions.groupBy("doc_id", F.col("check").alias("_check")).agg(F.collect_list(F.struct("gram", "first", "last", "state")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            hot: list[Level] = []
             for i in np.flatnonzero(np.asarray(batch.column(3).is_valid())).tolist():
-                raw = np.frombuffer(batch.column(2)[i].as_py().encode(), np.uint8)
+                sums = Prefixes(np.frombuffer(batch.column(2)[i].as_py().encode(), np.uint8))
                 stretch = batch.column(3)[i].values
-                gram, first, last = (stretch.field(k).to_numpy() for k in range(3))
-                size = last - first + 1
-                ends = np.cumsum(size)
-                start = np.repeat(first - (ends - size), size) + np.arange(ends[-1])
-                hashes = mix(Prefixes(raw).of(start, start + WINDOW)).view(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(hashes))
-                same = [pa.array(np.full(len(gram), batch.column(k)[i].as_py())) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays([pa.array(gram), *same, pa.array(first), lists], WINDOWS.names)
+                gram, first, last, state = (stretch.field(k).to_numpy() for k in range(4))
+                doc, check = (batch.column(k)[i].as_py() for k in (0, 1))
+                for of_hot in (False, True):
+                    rows = np.flatnonzero((state == HOT) == of_hot)
+                    if not len(rows):
+                        continue
+                    size = last[rows] - first[rows] + 1
+                    ends = np.cumsum(size)
+                    start = np.repeat(first[rows] - (ends - size), size) + np.arange(ends[-1])
+                    hashes = mix(sums.of(start, start + WINDOW))
+                    n = ends[-1] if of_hot else len(rows)
+                    same = np.full(n, doc), np.full(n, check)
+                    if of_hot:
+                        hot.append((hashes, np.repeat(gram[rows].view(np.uint64), size), *same, start))
+                    else:
+                        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(hashes.view(np.int64)))
+                        yield _window_rows(gram[rows], *same, first[rows], last[rows], lists)
+            if hot:
+                yield from _hot_rows(hot)
 
     return docs.join(asked, ["doc_id", "_check"], "left").select("doc_id", "_check", "text", "asked").mapInArrow(run, WINDOWS)
 
@@ -321,10 +410,14 @@ def repeated_windows(asked: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            size = batch.column(4).value_lengths().to_numpy().astype(np.int64)
+            settled = batch.column(5).is_null()
+            if batch.column(5).null_count:
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(settled) for i in (1, 2, 3, 4)], STRETCH.names)
+                batch = batch.filter(pc.invert(settled))
+            size = batch.column(5).value_lengths().to_numpy().astype(np.int64)
             inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             gram, doc, check, first = (np.repeat(batch.column(i).to_numpy(), size) for i in range(4))
-            held.append((batch.column(4).flatten().to_numpy().view(np.uint64), gram.view(np.uint64), doc, check, first + inner))
+            held.append((batch.column(5).flatten().to_numpy().view(np.uint64), gram.view(np.uint64), doc, check, first + inner))
         if held:
             window, gram, doc, check, first = (np.concatenate(c) for c in zip(*held, strict=True))
             order, known = settle(window, gram, doc)
@@ -354,19 +447,20 @@ def removed_bytes(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def deduplicate(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, with_bytes: bool = False, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per row of `docs`: doc_id, its bytes, how many go in how many spans, a digest of the others.
 
     `with_bytes` adds them too, as `kept`: bytes, since a cut may fall inside a character.
+    `hot_rows` is the bound beyond which a prefix is split over tasks; results do not depend on it.
     """
     schema = T.StructType([*RESULT.fields, *([T.StructField("kept", T.BinaryType())] if with_bytes else [])])
     kinds = (*ARROW, pa.binary()) if with_bytes else ARROW
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("_check")
     )
-    found = staged(match(suffix_arrays(rows)), "repeats")
-    repeated = repeated_windows(windows(rows, found.filter("NOT settled")))
-    settled = found.filter("settled").select("doc_id", "check", "first", "last")
+    found = staged(match(suffix_arrays(rows), hot_prefixes(rows, hot_rows)), "repeats")
+    repeated = repeated_windows(windows(rows, found.filter(F.col("state") != SETTLED)))
+    settled = found.filter(F.col("state") == SETTLED).select("doc_id", "check", "first", "last")
     gone = (
         settled.unionByName(repeated)
         .groupBy("doc_id", F.col("check").alias("_check"))

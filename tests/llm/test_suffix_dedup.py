@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from perfmart.llm import suffix_dedup
 from perfmart.llm.queries import QUERIES
@@ -56,6 +57,18 @@ def test_overlapping_copies(spark, seed):
     assert result(suffix_dedup.deduplicate(frame)) == brute(rows)
 
 
+def test_hot_prefixes_are_split_without_a_change(spark):
+    rng = random.Random(7)
+    shared = "a passage of sixty bytes that very many of the documents have"
+    own = lambda: "".join(rng.choice("klmnopq") for _ in range(60))
+    rows = [(i, own() + shared[: rng.choice((50, 61))] + own()) for i in range(200)] + hard_rows()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    checked = frame.withColumn("_check", F.lit(0).cast("long"))
+    assert suffix_dedup.hot_prefixes(checked, 8).count() > 0
+    assert suffix_dedup.hot_prefixes(checked, 10_000).count() == 0
+    assert result(suffix_dedup.deduplicate(frame, hot_rows=8)) == result(suffix_dedup.deduplicate(frame)) == brute(rows)
+
+
 def test_kept_bytes_and_empty_tables(spark, none):
     frame = spark.createDataFrame(hard_rows(), "doc_id long, text string")
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in suffix_dedup.deduplicate(frame, True).collect())
