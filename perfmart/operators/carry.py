@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A bigint key set of this size is a few tens of megabytes as a broadcast relation.
 BROADCAST_KEYS = 1_000_000
+# Rows of one write task if all rows of a load were of one date.
+TASK_ROWS = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -17,21 +19,33 @@ class KeyProfile:
 
     distinct: int
     has_null: bool
+    rows: int = field(default=0, compare=False)
+    #: The distinct keys, where the profile holds them for the carry-forward.
+    keys: DataFrame | None = field(default=None, compare=False, repr=False)
+
+    def release(self) -> None:
+        """Let go of the held keys."""
+        if self.keys is not None:
+            self.keys.unpersist()
 
     @property
     def empty(self) -> bool:
         return self.distinct == 0 and not self.has_null
 
 
-def profile_keys(fresh: DataFrame, key: str) -> KeyProfile:
-    """Count a batch's distinct keys: one job that reads only what the key needs."""
-    row = (
-        fresh.select(key)
-        .distinct()
-        .agg(F.count(key).alias("keys"), F.count(F.lit(1)).alias("groups"))
-        .first()
-    )
-    return KeyProfile(distinct=row["keys"], has_null=row["groups"] > row["keys"])
+def profile_keys(fresh: DataFrame, key: str, hold: bool = False) -> KeyProfile:
+    """Count a batch's distinct keys: one job that reads only what the key needs.
+
+    With ``hold`` the keys, one row for each account, are kept for the carry-forward, so
+    that they are worked out once; the caller releases them.
+    """
+    counted = fresh.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    if hold:
+        counted = counted.persist()
+    row = counted.agg(
+        F.count(key).alias("keys"), F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("rows")
+    ).first()
+    return KeyProfile(row["keys"], row["groups"] > row["keys"], row["rows"] or 0, counted if hold else None)
 
 
 def in_window(mart: DataFrame, start: str, end: str) -> DataFrame:
@@ -64,19 +78,39 @@ def carry_forward(
         return window
     if profile.has_null:
         return window.where(F.lit(False))
-    keys = fresh.select(key).distinct()
+    keys = fresh.select(key).distinct() if profile.keys is None else profile.keys.select(key)
     known = window.where(F.col(key).isNotNull())
     if profile.distinct <= max_broadcast:
         keys = F.broadcast(keys)
     return known.join(keys, key, "left_anti").select(*mart.columns)
 
 
+def merge_rows(fresh: DataFrame, carried: DataFrame) -> DataFrame:
+    """Union by position."""
+    if len(fresh.columns) != len(carried.columns):
+        raise ValueError("both sides need the same columns in the same order")
+    return fresh.union(carried)
+
+
 def merge_distinct(fresh: DataFrame, carried: DataFrame) -> DataFrame:
     """Union by position, then distinct over whole rows.
 
     One shuffle, hashed on the whole row, so no account or date can make a hot
     task; copies are collapsed in the map tasks before it.
     """
-    if len(fresh.columns) != len(carried.columns):
-        raise ValueError("both sides need the same columns in the same order")
-    return fresh.union(carried).distinct()
+    return merge_rows(fresh, carried).distinct()
+
+
+def merge_clustered(
+    fresh: DataFrame, carried: DataFrame, by: str, rows: int, task_rows: int = TASK_ROWS
+) -> DataFrame:
+    """:func:`merge_distinct`, laid out for a write partitioned by ``by``, in one shuffle.
+
+    Rows are hashed on the date and a salt of the whole row, so copies meet and a large
+    date is spread over tasks: as many salts as ``rows``, an upper bound of the rows,
+    fill.  Copies are not collapsed before the shuffle; a batch in which one row is
+    repeated very often should take :func:`merge_distinct` and a clustered write.
+    """
+    both = merge_rows(fresh, carried)
+    salt = F.pmod(F.xxhash64(*both.columns), F.lit(max(1, -(-rows // task_rows))))
+    return both.withColumn("_salt", salt).repartition(by, "_salt").distinct().drop("_salt")

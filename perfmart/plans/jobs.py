@@ -8,7 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.operators.carry import KeyProfile, carry_forward, merge_distinct, profile_keys
+from perfmart.operators.carry import (
+    KeyProfile,
+    carry_forward,
+    in_window,
+    merge_clustered,
+    merge_distinct,
+    profile_keys,
+)
 from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import dims_fit
 from perfmart.operators.project import project
@@ -80,16 +87,27 @@ def run_report(
     ``guard_null_keys`` refuses a batch with a NULL account, which would carry
     nothing and so erase the absent accounts when written.
     """
-    fits = dims_fit(dims) if spec.lookups else None
-    fresh = project(raw, spec, run_date, dims, fits)
-    profile: KeyProfile = profile_keys(fresh, spec.account)
-    if guard_null_keys and profile.has_null:
-        raise IncompleteData(f"{spec.name}: the batch of {run_date} has a row without an account")
+    fresh = _fresh(raw, spec, run_date, dims)
+    profile = profile_keys(fresh, spec.account)
+    if guard_null_keys:
+        _guard(profile, spec, run_date)
     start, end = window_bounds(run_date, lookback, inclusive_start)
     carried = carry_forward(fresh, mart, spec.account, start, end, profile)
     return merge_distinct(fresh, carried)
 
 
+def _fresh(
+    raw: DataFrame, spec: ReportSpec, run_date: str, dims: dict[str, DataFrame] | None
+) -> DataFrame:
+    fits = dims_fit(dims) if spec.lookups else None
+    return project(raw, spec, run_date, dims, fits)
+
+
+def _guard(profile: KeyProfile, spec: ReportSpec, run_date: str) -> None:
+    if profile.has_null:
+        raise IncompleteData(f"{spec.name}: the batch of {run_date} has a row without an account")
+
+
 def backfill_report(
     raw: DataFrame,
     spec: ReportSpec,
@@ -168,16 +186,34 @@ def load_report(
     inclusive_start: bool = False,
     guard_null_keys: bool = True,
     window: Window | None = None,
+    many_copies: bool = False,
 ) -> None:
-    """Check a run, merge it into the published table and replace its dates."""
+    """Check a run, merge it into the published table and replace its dates.
+
+    The accounts of the run are worked out once, and merge and write share one shuffle.
+    ``many_copies`` is for a run in which one row is repeated very often: copies are then
+    collapsed before a shuffle of their own.
+    """
     raw = read_raw(spark, spec, store.raw_path(spec), run_date)
     check_dates(raw, spec, run_date, lookback, window)
     mart = read_mart(spark, spec, store.mart_path(spec))
-    merged = run_report(
-        raw, mart, spec, run_date, lookback, inclusive_start, dims, guard_null_keys
-    )
+    fresh = _fresh(raw, spec, run_date, dims)
+    start, end = window_bounds(run_date, lookback, inclusive_start)
     with tuned(spark, spec):
-        tables.overwrite_partitions(merged, store.mart_path(spec))
+        profile = profile_keys(fresh, spec.account, hold=True)
+        try:
+            if guard_null_keys:
+                _guard(profile, spec, run_date)
+            carried = carry_forward(fresh, mart, spec.account, start, end, profile)
+            if many_copies:
+                merged = merge_distinct(fresh, carried)
+            else:
+                # Counting a range of dates reads only the footers of its files.
+                most = profile.rows + in_window(mart, start, end).count()
+                merged = merge_clustered(fresh, carried, "data_date", most)
+            tables.overwrite_partitions(merged, store.mart_path(spec), cluster=many_copies)
+        finally:
+            profile.release()
 
 
 def load_scheduled(

@@ -91,8 +91,8 @@ def test_daily_load_carries_merges_and_is_idempotent(spark, store):
     assert published(spark, CONV, store) == [(1, RUN), (2, "2019-12-31"), (2, RUN)]
     # The next run lacks account 2 and holds one row twice.
     put_run(spark, CONV, store, "2020-02-01", day(RUN, "1"), day(RUN, "1"), day("2020-02-01", "1"))
-    for _ in range(2):
-        jobs.load_report(spark, CONV, store, "2020-02-01")
+    for many_copies in (False, True, False):
+        jobs.load_report(spark, CONV, store, "2020-02-01", many_copies=many_copies)
         assert published(spark, CONV, store) == [
             (1, RUN), (1, "2020-02-01"), (2, "2019-12-31"), (2, RUN)
         ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from perfmart.operators import accounts, joins, quality, windows
-from perfmart.operators.carry import KeyProfile, carry_forward, merge_distinct, profile_keys
+from perfmart.operators.carry import KeyProfile, carry_forward, merge_clustered, merge_distinct, profile_keys
 from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import dims_fit, lookup_names
 from perfmart.operators.project import location_keys, project
@@ -207,6 +207,9 @@ def test_merge_is_by_position_and_removes_all_copies(spark):
     a = spark.createDataFrame([(1, nan), (1, nan), (2, 1.0)], "a int, b double")
     b = spark.createDataFrame([(2, 1.0), (3, None), (3, None)], "other int, names double")
     got = merge_distinct(a, b)
+    for most in (0, 3, 100):
+        clustered = merge_clustered(a, b, a.columns[0], most, task_rows=2)
+        assert str(rows(clustered)) == str(rows(got)) and clustered.columns == got.columns  # NaN
     assert got.columns == ["a", "b"] and got.count() == 3
     with pytest.raises(ValueError):
         merge_distinct(a, b.select("other"))

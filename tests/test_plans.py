@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from perfmart.operators.carry import carry_forward, merge_clustered, profile_keys
 from perfmart.operators.project import project
 from perfmart.operators.records import flatten_records, record_filter
 from perfmart.plans.jobs import Store, run_report
@@ -38,6 +39,22 @@ def test_daily_load_prunes_partitions_and_shuffles_rows_once(stored):
     assert "LeftAnti" in text and "NestedLoop" not in text and "CartesianProduct" not in text
 
 
+def test_merge_and_write_share_one_shuffle_and_the_keys_are_held(stored):
+    raw, mart = stored
+    fresh = project(raw, SPEC, RUN)
+    profile = profile_keys(fresh, SPEC.account, hold=True)
+    try:
+        carried = carry_forward(fresh, mart, SPEC.account, RUN, RUN, profile)
+        text = plan(merge_clustered(fresh, carried, "data_date", 30_000_000))
+    finally:
+        profile.release()
+    # Below the relation is the one job of the keys; above it all that is left of the load.
+    load, held, _ = text.partition("InMemoryRelation")
+    assert held and load.count("FileScan") == 2
+    assert re.findall(r"Exchange (\w+)\((\w+)#\w+, (\w+)#", load) == [("hashpartitioning", "data_date", "_salt")]
+    assert re.findall(r"(\w*Exchange) ", load) == ["Exchange", "BroadcastExchange"]
+
+
 def test_key_profile_reads_only_the_key_and_the_sentinel(stored):
     raw, _ = stored
     text = plan(project(raw, SPEC, RUN).select(SPEC.account).distinct())
