@@ -69,14 +69,17 @@ class Words:
         return self.data[self.start[i] : self.end[i]].tobytes()
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, first_row: int = 0) -> Words:
-    """Words of the rows data[offsets[i]:offsets[i+1]]: maximal runs of letters and digits, A-Z as a-z."""
+def words_of(data: np.ndarray, offsets: np.ndarray, first_row: int = 0, inside_word: np.ndarray = INSIDE) -> Words:
+    """Words of the rows data[offsets[i]:offsets[i+1]]: maximal runs of letters and digits, A-Z as a-z.
+
+    `inside_word` says for each byte whether it belongs to a word, for words of another kind.
+    """
     low, high = int(offsets[0]), int(offsets[-1])
     data, offsets = LOWER[data[low:high]], offsets - low
     if not len(data):
         none = np.empty(0, np.int64)
         return Words(first_row, data, none, none, none.astype(np.uint64), np.zeros(len(offsets), np.int64))
-    inside = INSIDE[data]
+    inside = inside_word[data]
     before, after = np.r_[False, inside[:-1]], np.r_[inside[1:], False]
     cuts = offsets[(offsets > 0) & (offsets < len(data))]
     before[cuts], after[cuts - 1] = False, False

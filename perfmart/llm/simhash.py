@@ -212,19 +212,21 @@ def links(distinct: DataFrame, radius: int = RADIUS, hot_rows: int = HOT_ROWS) -
     return keyed.repartition("_group").mapInArrow(search, "node long, parent long")
 
 
-def groups(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+def groups(rows: DataFrame, radius: int = RADIUS, linked: DataFrame | None = None) -> DataFrame:
     """From staged rows (doc_id, _fp): for each fingerprint its group's id and its group's first row.
 
+    `linked` has links (node, parent) of other values of `_fp` than fingerprints.
+
     `component_id` is the least doc_id of the group, and `_first_fp` a fingerprint that
     a document of that id has.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id"), F.col("_fp").alias("_first_fp")))
     distinct = staged(rows.groupBy("_fp").agg(first.alias("_first")), "fingerprints")
-    roots = staged(components(links(distinct.select("_fp"), radius)), "roots").withColumnRenamed("node", "_fp")
+    roots = staged(components(links(distinct.select("_fp"), radius) if linked is None else linked), "roots").withColumnRenamed("node", "_fp")
     joined = distinct.join(roots, "_fp")
     of_root = joined.groupBy("root").agg(F.min("_first").alias("_least"))
-    linked = joined.join(of_root, "root").select("_fp", "_least")
-    return distinct.join(linked, "_fp", "left").select("_fp", F.coalesce("_least", "_first").alias("_first")).select(
+    least = joined.join(of_root, "root").select("_fp", "_least")
+    return distinct.join(least, "_fp", "left").select("_fp", F.coalesce("_least", "_first").alias("_first")).select(
         "_fp", F.col("_first.doc_id").alias("component_id"), F.col("_first._first_fp").alias("_first_fp")
     )
 
@@ -239,13 +241,17 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group: that of the least id (of repeated rows, one)."""
-    marked = with_fingerprints(docs)
     rows = staged(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "_fp"), "simhash")
-    winners = groups(rows, radius).select(F.col("component_id").alias("_id"), F.col("_first_fp")).distinct()
+    return keep_winners(with_fingerprints(docs), groups(rows, radius))
+
+
+def keep_winners(marked: DataFrame, decided: DataFrame) -> DataFrame:
+    """Of rows with `_fp`, the first one of each group of `decided`, which is what groups() gives."""
+    winners = decided.select(F.col("component_id").alias("_id"), F.col("_first_fp")).distinct()
     # One hash of both columns is the only key of the join, and the distinct keeps to it (the
     # exact comparison stands in a CASE, which is no key): the texts are shuffled once.
     marked = marked.withColumn("_key", F.xxhash64("_fp", "doc_id"))
     winners = staged(winners.withColumn("_winner", F.xxhash64("_first_fp", "_id")), "simhash-winners")
     same = (marked["_fp"] == winners["_first_fp"]) & marked["doc_id"].eqNullSafe(winners["_id"])
     kept = marked.join(winners, (marked["_key"] == winners["_winner"]) & F.when(same, True).otherwise(False), "left_semi")
-    return kept.dropDuplicates(["_key", "_fp", "doc_id"]).select(*docs.columns)
+    return kept.dropDuplicates(["_key", "_fp", "doc_id"]).drop("_key", "_fp")
