@@ -20,7 +20,7 @@ prefix and then by hashes of their surroundings, which brings equal ones togethe
    window leaves each batch once, so that no task gets all documents that share a string.
 4. The settled stretches of each document are put together, and the rest of it is kept.
 
-Hashes of 64 bits stand for strings, always two independent ones (prefix and surroundings,
+Hashes of 64 bits stand for strings, always two independent ones (prefix and whole stretch,
 or prefix and window), 128 bits in all.
 
 Edge cases: a null text counts as empty; a document without an id is neither changed nor
@@ -63,7 +63,7 @@ LONG_BYTES = 1 << POSITION_BITS
 
 #: What a row is: a suffix or stretch in question, a settled stretch, or one in question whose prefix is hot.
 OPEN, SETTLED, HOT = 0, 1, 2
-SUFFIX = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "around", "doc_id", "check", "place")] + [T.StructField("state", T.ByteType())])
+SUFFIX = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "whole", "doc_id", "check", "place", "around")] + [T.StructField("state", T.ByteType())])
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "check", "gram", "first", "last")] + [T.StructField("state", T.ByteType())])
 
 
@@ -127,8 +127,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray] |
     over = np.minimum(at + PREFIX + SIDE, len(data))
     right = np.where(at + PREFIX + SIDE <= end, mix(hashes.of(at + PREFIX, over), 2), mix(alone))
     whole = mix(hashes.of(first, last + WINDOW) + (at - first).astype(np.uint64))
-    around = (left >> np.uint64(43) << np.uint64(43)) | (right >> np.uint64(43) << np.uint64(22)) | (whole >> np.uint64(42))
-    return {"row": row, "at": at - begin, "first": first - begin, "last": last - begin, "gram": mix(grams[at]), "around": around}
+    # Two short hashes of the sides: equal ones only ask a question, the whole stretch decides.
+    around = (left >> np.uint64(48) << np.uint64(16)) | (right >> np.uint64(48))
+    return {"row": row, "at": at - begin, "first": first - begin, "last": last - begin, "gram": mix(grams[at]), "whole": whole, "around": around}
 
 
 def _in_parts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray] | None:
@@ -196,7 +197,7 @@ def _array(batch: pa.RecordBatch) -> tuple[dict[str, np.ndarray], np.ndarray, np
         return None
     p = {k: np.concatenate([x[k] for x in parts]) for k in parts[0]}
     p |= {"doc": ids[p["row"]].astype(np.int64), "check": checks[p["row"]].astype(np.int64)}
-    return p, *settle(p["gram"], p["around"], p["doc"])
+    return p, *settle(p["gram"], p["whole"], p["doc"])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -240,17 +241,17 @@ def suffix_arrays(docs: DataFrame) -> DataFrame:
             p, order, known = array
             doc, check, kept = p["doc"], p["check"], order[~known]
             place = (p["at"] << 16) | ((p["at"] - p["first"]) << 8) | (p["at"] - p["last"])
-            yield _suffix_rows(p["gram"][kept], p["around"][kept], doc[kept], check[kept], place[kept], OPEN)
+            yield _suffix_rows(p["gram"][kept], p["whole"][kept], doc[kept], check[kept], place[kept], p["around"][kept], OPEN)
             done = order[known]
             d, c, first, last = _joined(doc[done], check[done], p["first"][done], p["last"][done])
             # Settled stretches travel with the suffixes, dealt by document.
-            yield _suffix_rows(mix(d.view(np.uint64)), first.astype(np.uint64), d, c, last, SETTLED)
+            yield _suffix_rows(mix(d.view(np.uint64)), first.astype(np.uint64), d, c, last, np.zeros(len(d), np.uint64), SETTLED)
 
     return _texts(docs).mapInArrow(run, SUFFIX)
 
 
-def _suffix_rows(gram: np.ndarray, around: np.ndarray, doc: np.ndarray, check: np.ndarray, place: np.ndarray, state: int) -> pa.RecordBatch:
-    columns = [pa.array(c.view(np.int64)) for c in (gram, around)] + [pa.array(c) for c in (doc, check, place)]
+def _suffix_rows(gram: np.ndarray, whole: np.ndarray, doc: np.ndarray, check: np.ndarray, place: np.ndarray, around: np.ndarray, state: int) -> pa.RecordBatch:
+    columns = [pa.array(c.view(np.int64)) for c in (gram, whole)] + [pa.array(c) for c in (doc, check, place)] + [pa.array(around.view(np.int64))]
     return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(doc), state, np.int8))], SUFFIX.names)
 
 
@@ -287,8 +288,8 @@ def open_questions(level: Level) -> np.ndarray:
     rows = np.flatnonzero(_several(level[0]))
     if not len(rows):
         return out
-    gram, around, doc = (c[rows] for c in level[:3])
-    for side in (around >> np.uint64(43), (around >> np.uint64(22)) & np.uint64((1 << 21) - 1)):
+    gram, doc, around = (level[k][rows] for k in (0, 2, 5))
+    for side in (around >> np.uint64(16), around & np.uint64((1 << 16) - 1)):
         order = np.lexsort((doc, side, gram))
         g, s, d = gram[order], side[order], doc[order]
         new = np.r_[True, (g[1:] != g[:-1]) | (s[1:] != s[:-1])]
@@ -313,12 +314,11 @@ def match(suffixes: DataFrame, hot: DataFrame) -> DataFrame:
         levels: list[Level] = []
         held: list[Level] = []
         for batch in batches:
-            gram, around, doc, check, place = (batch.column(i).to_numpy() for i in range(5))
-            state = batch.column(5).to_numpy()
+            gram, whole, doc, check, place, around, state = (batch.column(i).to_numpy() for i in range(7))
             settled = state == SETTLED
             if settled.any():
-                yield _found_rows(doc[settled], check[settled], gram[settled], around[settled], place[settled], SETTLED)
-            held.append(tuple(c[~settled] for c in (gram.view(np.uint64), around.view(np.uint64), doc, check, place, state)))
+                yield _found_rows(doc[settled], check[settled], gram[settled], whole[settled], place[settled], SETTLED)
+            held.append(tuple(c[~settled] for c in (gram.view(np.uint64), whole.view(np.uint64), doc, check, place, around.view(np.uint64), state)))
             if sum(len(x[0]) for x in held) >= ARRAY_ROWS:
                 yield from _settled(_add_rows(levels, held))
                 held = []
@@ -327,8 +327,8 @@ def match(suffixes: DataFrame, hot: DataFrame) -> DataFrame:
             merge_last(levels, found)
         yield from _settled(found)
         if levels:
-            asked = open_questions(levels[0]) | (levels[0][5] == HOT)
-            gram, _, doc, check, place, state = (c[asked] for c in levels[0])
+            asked = open_questions(levels[0]) | (levels[0][6] == HOT)
+            gram, _, doc, check, place, _, state = (c[asked] for c in levels[0])
             at = place >> 16
             yield _found_rows(doc, check, gram, at - ((place >> 8) & 255), at - (place & 255), state)
 
@@ -340,7 +340,7 @@ def match(suffixes: DataFrame, hot: DataFrame) -> DataFrame:
 
 
 def _settled(found: list[Level]) -> Iterator[pa.RecordBatch]:
-    for _, _, doc, check, place, _ in found:
+    for _, _, doc, check, place, *_ in found:
         at = place >> 16
         yield _found_rows(doc, check, np.zeros(len(doc), np.int64), at - ((place >> 8) & 255), at - (place & 255), SETTLED)
 

@@ -101,3 +101,24 @@ def test_levels_merge_by_size():
         suffix_dedup.add_level(levels, new, found)
     sizes = [len(level[0]) for level in levels]
     assert sizes == sorted(sizes, reverse=True) and len(levels) <= 5
+
+
+def test_stretches_with_equal_sides_differ_in_64_bits():
+    """A passage whose minimizer has 50 equal bytes around it, while the stretch reaches into each document's own text."""
+    rng = random.Random(11)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    wholes = []
+    while not wholes:
+        shared = draw(60)
+        raws = [f"{draw(60)}{shared}{draw(60)}".encode() for _ in range(8_000)]
+        data = np.frombuffer(b"".join(raws), np.uint8)
+        p = suffix_dedup.stretches(data, np.arange(len(raws) + 1) * 180)
+        inside = (p["at"] >= 77) & (p["at"] <= 87) & ((p["first"] < 60) | (p["last"] + 50 > 120))
+        wholes = [raws[r][f : last + 50] + bytes([a - f]) for r, a, f, last in zip(*(p[k][inside].tolist() for k in ("row", "at", "first", "last")), strict=True)]
+    doc = p["row"][inside].astype(np.int64)
+    order, known = suffix_dedup.settle(p["gram"][inside], p["whole"][inside], doc)
+    least = {}
+    for w, d in zip(wholes, doc.tolist(), strict=True):
+        least[w] = min(d, least.get(w, d))
+    assert len(set(wholes)) > 6_000
+    assert known.tolist() == [bool(doc[k] > least[wholes[k]]) for k in order.tolist()]
