@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.llm import decontaminate, language, mixing, pii, quality_model, quality_rules, secrets, sharding, simhash, suffix_dedup
+from perfmart.llm import (
+    decontaminate,
+    language,
+    lexical,
+    mixing,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    resampling,
+    secrets,
+    sharding,
+    simhash,
+    suffix_dedup,
+)
 from perfmart.llm.shared import read_table
 
 SHARDS = 8
@@ -86,6 +101,21 @@ def op10_learned_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed into sequences of at most 2048 tokens."""
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_bag_class_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all documents for each item of `benchmark`."""
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The draw of a tenth of all documents towards the words of `benchmark`."""
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -99,7 +129,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash_decontamination,
         op9_ownership_secrets,
         op10_learned_decision_list,
+        op11_minimum_bin_slack,
+        op12_bag_class_search,
+        op13_importance_resampling,
     )
 }
-#: None of the ten results is plain SQL: they rest on checksums, 64-bit hashes and learned models.
-ORACLE: dict[str, str] = {}
+
+_LOWERED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"unnest(regexp_extract_all({_LOWERED.format(text='text')}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'))"
+
+#: The other results are not plain SQL: they rest on checksums, 64-bit hashes, tokenizers and learned models.
+ORACLE: dict[str, str] = {
+    "op12_bag_class_search": f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+total AS (SELECT count(*) AS documents, cast(sum(n) AS BIGINT) AS terms FROM lengths),
+asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+tfs AS (SELECT doc_id, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, cast(floor(1000 * ln(cast(2 * any_value(documents) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tfs, total GROUP BY term
+),
+classes AS (SELECT doc_id, 10 + (90 * n * documents) // terms AS m FROM lengths, total),
+scores AS (
+  SELECT item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN classes USING (doc_id) GROUP BY ALL
+)
+SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+""",
+}
