@@ -23,6 +23,7 @@ from perfmart.plans.jobs import (
     Store,
     backfill_report,
     check_dates,
+    ingest,
     load_report,
     run_report,
 )
@@ -34,10 +35,11 @@ from perfmart.plans.reports import (
     PLACEMENT,
     REPORTS,
     ReportSpec,
+    Window,
 )
 from perfmart.session import tune
 from perfmart.sources import tables
-from perfmart.sources.raw import read_accounts, read_location_dims, read_mart, read_records
+from perfmart.sources.raw import BAD_RECORD, read_accounts, read_location_dims, read_mart, read_raw, read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,16 +198,17 @@ def _(t):
 _LEVELS = ("city", "country", "metro", "most_specific", "region")
 
 
-@query(
-    "geo_lookup_inner5",
+_LOOKUP_SQL = (
     "SELECT ad_group_id, id, city_criteria_name, country_criteria_name, metro_criteria_name, "
     "most_specific_criteria_name, region_criteria_name FROM "
     f"(SELECT raw.ad_group_id, raw.metrics_clicks AS id, "
     + ", ".join(f"{c.raw}.{views.DIMS[c.raw][2]} AS {c.name}" for c in GEO.lookups)
-    + f" FROM ({oracle.raw(GEO, 'TRUE')}) AS raw {oracle._lookups(GEO)})",
+    + f" FROM ({oracle.raw(GEO, 'TRUE')}) AS raw {oracle._lookups(GEO)})"
 )
-def _(t):
-    named = lookup_names(views.raw_all(t, GEO), views.location_dims(t), location_keys())
+
+
+def _looked_up(t: Tables, broadcast: bool | None = None) -> DataFrame:
+    named = lookup_names(views.raw_all(t, GEO), views.location_dims(t), location_keys(), broadcast)
     return named.select(
         "ad_group_id",
         F.col("metrics_clicks").alias("id"),
@@ -213,6 +216,11 @@ def _(t):
     )
 
 
+query("geo_lookup_inner5", _LOOKUP_SQL)(_looked_up)
+# As if no dimension were small: the ids of the extract are looked up first.
+query("geo_lookup_reduced", _LOOKUP_SQL)(partial(_looked_up, broadcast=False))
+
+
 @query(
     "location_dims_scan",
     " UNION ALL ".join(
@@ -236,9 +244,9 @@ def _carry_sql(batch: str, start: str = START) -> str:
     )
 
 
-def _carry(t: Tables, fresh: DataFrame, start: str = START) -> DataFrame:
+def _carry(t: Tables, fresh: DataFrame, start: str = START, **limits: int) -> DataFrame:
     return carry_forward(
-        fresh, views.mart_history(t, CONV), CONV.account, start, RUN_DATE
+        fresh, views.mart_history(t, CONV), CONV.account, start, RUN_DATE, **limits
     )
 
 
@@ -247,6 +255,12 @@ def _(t):
     return _carry(t, project(views.raw_batch(t, CONV), CONV, RUN_DATE))
 
 
+@query("carry_forward_bitmaps", _carry_sql(oracle.fresh(CONV)))
+def _(t):
+    # As if there were too many accounts for a broadcast of their ids.
+    return _carry(t, project(views.raw_batch(t, CONV), CONV, RUN_DATE), max_broadcast=0)
+
+
 # The longer window of the original load: the published table's first day is the
 # one before the fetch window, where the fresh accounts' rows are lost on overwrite.
 _SHORT = LOOKBACK - 1
@@ -368,6 +382,7 @@ def _(t):
 
 # Statuses 2, 3 and 4 have names; the records also hold codes that have none.
 _STATUS_NAMES = {0: "UNSPECIFIED", 1: "UNKNOWN", 2: "ENABLED", 3: "PAUSED", 4: "REMOVED"}
+_REPORTED_NAMES = {code: name for code, name in _STATUS_NAMES.items() if code > 1}
 _STATUS_ENUM = {"campaign_status": "CampaignStatusEnum"}
 
 
@@ -386,12 +401,13 @@ def _(t):
     )
 
 
-@query(
-    "decode_enums_by_table",
+_BY_TABLE_SQL = (
     "SELECT c_custkey, n_name AS c_nationkey, c_mktsegment FROM customer LEFT JOIN nation "
-    "ON CASE WHEN c_mktsegment = 'MACHINERY' THEN c_nationkey + 100 ELSE c_nationkey END = n_nationkey",
+    "ON CASE WHEN c_mktsegment = 'MACHINERY' THEN c_nationkey + 100 ELSE c_nationkey END = n_nationkey"
 )
-def _(t):
+
+
+def _by_table(t: Tables, **limits: int) -> DataFrame:
     # Nation names stand for an enum's names; one segment's codes are unknown.
     dim = t["nation"].select(
         F.lit("NationEnum").alias("enum"), F.col("n_nationkey").alias("code"), F.col("n_name").alias("name")
@@ -401,7 +417,12 @@ def _(t):
         "case when c_mktsegment = 'MACHINERY' then c_nationkey + 100 else c_nationkey end as c_nationkey",
         "c_mktsegment",
     )
-    return records.decode_enums_by_table(coded, dim, {"c_nationkey": "NationEnum"})
+    return records.decode_enums_by_table(coded, dim, {"c_nationkey": "NationEnum"}, **limits)
+
+
+query("decode_enums_by_table", _BY_TABLE_SQL)(_by_table)
+# As if there were too many codes for a map, or for a broadcast.
+query("decode_enums_by_join", _BY_TABLE_SQL)(partial(_by_table, max_codes=0, max_rows=0))
 
 
 @query(
@@ -543,7 +564,24 @@ def _(t):
     return quality.input_readiness(inputs, _READY_DATE)
 
 
-def _lost_sql(spec: ReportSpec) -> str:
+@query(
+    "readiness_by_partition",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS \"table\", count(*) > 0 AS ready FROM lineitem WHERE {views.slice_condition(k)} "
+        f"AND cast(l_shipdate AS DATE) = DATE '{_READY_DATE}'"
+        for k, name in enumerate(CONVERSION_SLICES)
+    ),
+)
+def _(t):
+    # The slices as stored tables, of which only the folders are looked at.
+    paths = {name: scratch_path(t.spark, name) for name in CONVERSION_SLICES}
+    late = F.col("data_date") >= "2001-11-01"
+    for k, (name, spec) in enumerate(CONVERSION_SLICES.items()):
+        tables.overwrite_partitions(views.slice_history(t, spec, k).where(late), paths[name])
+    return quality.partition_readiness(t.spark, paths, _READY_DATE)
+
+
+def _lost_sql(spec: ReportSpec, where: str = "TRUE") -> str:
     parts = []
     for c in spec.columns:
         if c.kind in ("string", "criteria", "lookup"):
@@ -553,11 +591,49 @@ def _lost_sql(spec: ReportSpec) -> str:
             f"SELECT '{c.name}' AS \"column\", count(*) FILTER (WHERE {c.raw} <> 'None' AND {cast} IS NULL)"
             f" AS lost FROM raw WHERE {spec.sentinel} <> '{spec.sentinel}'"
         )
-    return f"WITH raw AS ({oracle.raw(spec, 'TRUE', headers=True)}) " + " UNION ALL ".join(parts)
+    return f"WITH raw AS ({oracle.raw(spec, where, headers=True)}) " + " UNION ALL ".join(parts)
 
 
 KEYWORD = REPORTS["keyword"]
 
+_FETCH = replace(CAMPAIGN, daily=Window(1, 1, LOOKBACK))
+
+
+@query(
+    "ingest_counts",
+    "SELECT count(*) AS n_rows, count(DISTINCT l_shipdate) AS n_dates, 0 AS n_bad, "
+    "(SELECT count(*) FROM lineitem WHERE l_linenumber + 1 NOT IN (2, 3, 4)) AS n_codes_lost FROM lineitem "
+    f"WHERE cast(l_shipdate AS DATE) BETWEEN DATE '{START}' AND DATE '{RUN_DATE}' AND l_linenumber + 1 IN (2, 3, 4)",
+)
+def _(t):
+    # What the write of a run counts on its way.
+    def decode(df, fields):
+        return records.decode_enums(df, {"CampaignStatusEnum": _REPORTED_NAMES}, {"campaign_status": fields["campaign_status"]})
+
+    delivered = nested(t).select("campaign", "segments")
+    path = scratch_path(t.spark, "raw")
+    fetched = ingest(delivered, _FETCH, decode, path, RUN_DATE)
+    stored = read_raw(t.spark, _FETCH, path, RUN_DATE)
+    return stored.groupBy().agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(len(fetched.dates)).cast("bigint").alias("n_dates"),
+        F.lit(fetched.bad_records).alias("n_bad"),
+        F.lit(fetched.codes_lost["campaign_status"]).cast("bigint").alias("n_codes_lost"),
+    )
+
+
+@query(
+    "broken_records",
+    "SELECT count(*) AS records, count(*) FILTER (WHERE l_linenumber = 7) AS bad, 0 AS without FROM lineitem",
+)
+def _(t):
+    # One line in seven was cut off before it was stored.
+    line = F.to_json(F.struct("*"))
+    delivered, path = nested(t), scratch_path(t.spark, "records")
+    cut = F.when(F.col("ad_group_criterion.age_range.type") == 7, F.substr(line, F.lit(1), F.length(line) - 3)).otherwise(line)
+    delivered.select(cut.alias("value")).write.text(path)
+    return quality.record_counts(read_records(t.spark, delivered.schema, path, keep_bad=True), BAD_RECORD, "campaign")
+
 
 @query("cast_loss_counts", _lost_sql(KEYWORD))
 def _(t):
@@ -712,6 +788,38 @@ def _(t):
     return read_mart(t.spark, CONV, store.mart_path(CONV))
 
 
+@query("casts_lost_in_load", _lost_sql(KEYWORD, oracle.IS_ACTIVE))
+def _(t):
+    # What the load of a run counts on its way.
+    root = scratch_path(t.spark, "store")
+    store = Store(raw=f"{root}/raw", mart=f"{root}/mart", backfill=f"{root}/backfill")
+    batch = views.raw_batch(t, KEYWORD, monthly=True).withColumn("chunk", F.lit("0-0"))
+    tables.write_run(batch, store.raw_path(KEYWORD), RUN_DATE, KEYWORD.account_raw)
+    loaded = load_report(t.spark, replace(KEYWORD, check_dates=False), store, RUN_DATE, LOOKBACK)
+    return t.spark.createDataFrame(list(loaded.casts_lost.items()), "column string, lost bigint")
+
+
+_AGAIN = "s_nationkey = 7"
+
+
+@query(
+    "rerun_one_customer",
+    f"WITH raw AS ({oracle.raw(CONV, 'TRUE')}), again AS (SELECT cast(s_suppkey AS VARCHAR) AS c FROM supplier WHERE {_AGAIN}) "
+    "SELECT * FROM raw WHERE customer_id NOT IN (SELECT c FROM again) OR segments_device <> 'R' UNION ALL "
+    "SELECT * REPLACE ('7' AS metrics_conversions) FROM raw WHERE customer_id IN (SELECT c FROM again) AND segments_device = 'R'",
+)
+def _(t):
+    # Returned lines are one chunk.  The accounts of one nation are fetched again there.
+    path = scratch_path(t.spark, "raw")
+    chunk = F.when(F.col("segments_device") == "R", "0-0").otherwise("0-1")
+    tables.write_run(views.raw_all(t, CONV).withColumn("chunk", chunk), path, RUN_DATE, CONV.account_raw)
+    again = t["supplier"].where(_AGAIN).select(F.col("s_suppkey").cast("string").alias("customer_id"))
+    fetched = views.raw_all(t, CONV).where("segments_device = 'R'").join(again, "customer_id", "left_semi")
+    fetched = fetched.withColumn("metrics_conversions", F.lit("7")).select(*CONV.raw_fields)
+    tables.replace_customers(fetched, path, RUN_DATE, "0-0", CONV.account_raw)
+    return read_raw(t.spark, CONV, path, RUN_DATE)
+
+
 @query(
     "clear_run_partition",
     "SELECT l_orderkey, l_partkey, l_returnflag, CASE WHEN l_linestatus = 'F' THEN '2001-12-30' "

@@ -121,7 +121,8 @@ class Tables:
 
 
 def lines(t: Tables) -> DataFrame:
-    return t["lineitem"]
+    """Line items, dealt over the tasks while they are narrow: the views make wide text rows of them."""
+    return t["lineitem"].repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "l_orderkey")
 
 
 def accounts(t: Tables) -> DataFrame:

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from perfmart.session import checkpointed
 
 # A bigint key set of this size is a few tens of megabytes as a broadcast relation.
 BROADCAST_KEYS = 1_000_000
-# Rows of one write task if all rows of a load were of one date.
+# Bitmaps of accounts are broadcast up to this size; each covers 32,768 ids with 4 KB.
+BITMAP_BYTES = 256 << 20
+_BITMAP_SIZE = 4096 + 64
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+# Rows of one write task.
 TASK_ROWS = 8_000_000
 
 
@@ -33,19 +42,22 @@ class KeyProfile:
         return self.distinct == 0 and not self.has_null
 
 
-def profile_keys(fresh: DataFrame, key: str, hold: bool = False) -> KeyProfile:
+def profile_keys(fresh: DataFrame, key: str, hold: bool = False, store: bool = False) -> KeyProfile:
     """Count a batch's distinct keys: one job that reads only what the key needs.
 
     With ``hold`` the keys, one row for each account, are kept for the carry-forward, so
-    that they are worked out once; the caller releases them.
+    that they are worked out once; the caller releases them.  With ``store`` they are kept
+    in the checkpoint folder instead, for a result that is read later.
     """
     counted = fresh.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     if hold:
         counted = counted.persist()
+    elif store:
+        counted = checkpointed(counted)
     row = counted.agg(
         F.count(key).alias("keys"), F.count(F.lit(1)).alias("groups"), F.sum("_rows").alias("rows")
     ).first()
-    return KeyProfile(row["keys"], row["groups"] > row["keys"], row["rows"] or 0, counted if hold else None)
+    return KeyProfile(row["keys"], row["groups"] > row["keys"], row["rows"] or 0, counted if hold or store else None)
 
 
 def in_window(mart: DataFrame, start: str, end: str) -> DataFrame:
@@ -61,6 +73,7 @@ def carry_forward(
     end: str,
     profile: KeyProfile | None = None,
     max_broadcast: int = BROADCAST_KEYS,
+    max_bitmap_bytes: int = BITMAP_BYTES,
 ) -> DataFrame:
     """Published rows of the window whose account is not in the batch.
 
@@ -69,8 +82,11 @@ def carry_forward(
     by an empty batch.  Spark can run a literal ``NOT IN`` only by broadcasting
     the keys whatever their number.  Here the profile settles the NULL cases, and
     what is left is a plain anti-join, broadcast while the keys are few.  Beyond that
-    it is a sort-merge join, whose published side adaptive execution splits where one
-    account holds too much of it; no side is copied.
+    whole numbers become bitmaps of 32,768 ids each: while these fit ``max_bitmap_bytes``,
+    they are broadcast, and the published rows are tested where they lie; a billion ids
+    without large gaps take 130 MB.  What does not fit is a sort-merge join, whose
+    published side adaptive execution splits where one account holds too much of it; no
+    side is copied.
     """
     profile = profile or profile_keys(fresh, key)
     window = in_window(mart, start, end)
@@ -82,9 +98,33 @@ def carry_forward(
     known = window.where(F.col(key).isNotNull())
     if profile.distinct <= max_broadcast:
         keys = F.broadcast(keys)
+    elif isinstance(keys.schema[key].dataType, _INTEGRAL):
+        bitmaps = account_bitmaps(keys, key)
+        if bitmaps.count() * _BITMAP_SIZE <= max_bitmap_bytes:
+            return without_accounts(known, bitmaps, key).select(*mart.columns)
     return known.join(keys, key, "left_anti").select(*mart.columns)
 
 
+def account_bitmaps(keys: DataFrame, key: str) -> DataFrame:
+    """``(bucket, bits)``: the ids as bitmaps, one for each 32,768 numbers that hold any."""
+    known = keys.where(F.col(key).isNotNull())
+    return known.groupBy(F.bitmap_bucket_number(key).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(key)).alias("bits")
+    )
+
+
+def without_accounts(df: DataFrame, bitmaps: DataFrame, key: str) -> DataFrame:
+    """Rows whose id is in none of the bitmaps; ``bitmaps`` must fit a broadcast."""
+    side = F.broadcast(bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits")))
+    joined = df.join(side, F.bitmap_bucket_number(key) == F.col("_bucket"), "left")
+    return joined.where(~F.coalesce(_has_bit(F.col("_bits"), F.bitmap_bit_position(key)), F.lit(False))).drop("_bucket", "_bits")
+
+
+def _has_bit(bits: Column, position: Column) -> Column:
+    byte = F.conv(F.hex(F.substr(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("bigint")
+    return F.getbit(byte, F.pmod(position, F.lit(8)).cast("int")) == 1
+
+
 def merge_rows(fresh: DataFrame, carried: DataFrame) -> DataFrame:
     """Union by position."""
     if len(fresh.columns) != len(carried.columns):
@@ -101,16 +141,46 @@ def merge_distinct(fresh: DataFrame, carried: DataFrame) -> DataFrame:
     return merge_rows(fresh, carried).distinct()
 
 
+def write_tasks(rows: Mapping[str | None, int], task_rows: int, tasks: int) -> tuple[dict[str | None, tuple[int, int]], int]:
+    """Where the rows of each date are written: date -> (first task, number of tasks), and the tasks in all.
+
+    A date of more than ``task_rows`` rows gets as many tasks of its own as they fill.
+    Smaller ones stay whole and share tasks, largest first into the emptiest, in at least
+    ``tasks`` of them while there are so many dates.  ``None`` stands for all other dates.
+    """
+    out, used = {}, 0
+    for date, n in rows.items():
+        if n > task_rows or date is None:
+            out[date] = (used, max(1, -(-n // task_rows)))
+            used += out[date][1]
+    small = sorted((d for d in rows if d not in out), key=lambda d: (-rows[d], d))
+    shared = min(len(small), max(tasks, -(-sum(rows[d] for d in small) // task_rows)))
+    loads = [(0, used + i) for i in range(shared)]
+    for date in small:
+        load, task = heapq.heappop(loads)
+        out[date] = (task, 1)
+        heapq.heappush(loads, (load + rows[date], task))
+    return out, used + shared
+
+
 def merge_clustered(
-    fresh: DataFrame, carried: DataFrame, by: str, rows: int, task_rows: int = TASK_ROWS
+    fresh: DataFrame, carried: DataFrame, by: str, rows: int | Mapping[str | None, int], task_rows: int = TASK_ROWS
 ) -> DataFrame:
     """:func:`merge_distinct`, laid out for a write partitioned by ``by``, in one shuffle.
 
-    Rows are hashed on the date and a salt of the whole row, so copies meet and a large
-    date is spread over tasks: as many salts as ``rows``, an upper bound of the rows,
-    fill.  Copies are not collapsed before the shuffle; a batch in which one row is
+    ``rows`` are upper bounds of the rows by date, or of all of them as one number.  They
+    decide which tasks write which date, see :func:`write_tasks`; a row of a large date is
+    dealt by a hash of the whole row, so copies meet, and a date gets a file for each of
+    its tasks.  Copies are not collapsed before the shuffle; a batch in which one row is
     repeated very often should take :func:`merge_distinct` and a clustered write.
     """
     both = merge_rows(fresh, carried)
-    salt = F.pmod(F.xxhash64(*both.columns), F.lit(max(1, -(-rows // task_rows))))
-    return both.withColumn("_salt", salt).repartition(by, "_salt").distinct().drop("_salt")
+    rows = {None: rows} if isinstance(rows, int) else {None: 0, **rows}
+    places, tasks = write_tasks(rows, task_rows, int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    place = F.lit(places[None][0]), F.lit(places[None][1])
+    if len(places) > 1:
+        known = {date: F.struct(*map(F.lit, p)) for date, p in places.items() if date is not None}
+        found = F.create_map(*[x for date, p in known.items() for x in (F.lit(date), p)])[F.col(by).cast("string")]
+        place = F.coalesce(found["col1"], place[0]), F.coalesce(found["col2"], place[1])
+    task = (place[0] + F.pmod(F.xxhash64(*both.columns), place[1])).cast("int")
+    return both.withColumn("_task", task).repartitionById(tasks, "_task").distinct().drop("_task")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfmart.functions.casts import legacy_long
-from perfmart.operators.joins import BROADCAST_ROWS
+from perfmart.operators.joins import BROADCAST_ROWS, fits
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
@@ -31,14 +31,18 @@ def lookup_names(
     dims: dict[str, DataFrame],
     keys: dict[str, Column],
     broadcast: Mapping[str, bool] | bool | None = None,
+    max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``<level>_name`` for every level; keep rows that resolve at all of them.
 
     ``dims`` are ``(id, cannonicalname)``.  ``keys`` are text; they are compared as
-    numbers where the dimension's id is a number.  Each dimension is broadcast if it
-    fits, and those come first, so that the rows they drop are not shuffled for the
-    others; there, rows without a number are dropped before the shuffle too.
+    numbers where the dimension's id is a number.  A dimension that fits is broadcast.
+    Of a larger one the ids that ``df`` has are looked up first: a job that reads one
+    column of ``df`` and shuffles distinct ids.  While what they resolve to fits
+    ``max_rows``, it is broadcast, and the wide rows are not shuffled; else those without
+    a number are dropped and the others shuffled for that level.  Such levels come last.
     """
+    rows = df
     used = {level: dims[level] for level in keys}
     if broadcast is None:
         broadcast = dims_fit(used)
@@ -58,5 +62,10 @@ def lookup_names(
         else:
             # The dimension has no such key; without the rows that do, no task gets them all.
             located = F.col("_key") != _NO_LOCATION if isinstance(dim.schema["_key"].dataType, T.LongType) else F.lit(True)
-            df = keyed.where(located).join(dim, "_key").drop("_key")
+            ids = rows.select(key.alias("_key")).where(located).distinct()
+            found = dim.join(ids, "_key", "left_semi")
+            if fits(found, max_rows):
+                df = keyed.join(F.broadcast(found), "_key").drop("_key")
+            else:
+                df = keyed.where(located).join(dim, "_key").drop("_key")
     return df

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from perfmart.functions.casts import CASTS
+from perfmart.functions.casts import CASTS, MISSING
 from perfmart.operators.lookup import lookup_names
 from perfmart.plans.columns import LOCATION_FIELDS, LOCATION_PREFIX_LENGTH
 from perfmart.plans.reports import ReportSpec, TypedCriteria
 
 
+#: Kinds of columns that no cast fills.
+UNCAST = ("string", "criteria", "lookup")
+
+
 def criteria_text(criteria: str | TypedCriteria) -> Column:
     """The criteria column: a raw field, or one chosen by the criterion type."""
     if isinstance(criteria, str):
@@ -47,18 +51,32 @@ def project(
     run_date: str | None = None,
     dims: dict[str, DataFrame] | None = None,
     broadcast_dims: Mapping[str, bool] | bool | None = None,
+    lost: Observation | None = None,
 ) -> DataFrame:
     """Rows of one run, typed and renamed as the report publishes them.
 
     ``raw`` may hold many runs; ``run_date`` picks one of its partitions.  A
     report with location columns needs ``dims``, one dimension per level.
+    With ``lost`` the action that reads the rows also counts, by column, the texts that
+    a cast turned to NULL.
     """
     rows = raw if run_date is None else raw.where(F.col("data_date") == run_date)
     rows = drop_header_rows(rows, spec.sentinel)
     if spec.lookups:
         keys = {c.raw: location_keys()[c.raw] for c in spec.lookups}
         rows = lookup_names(rows, dims, keys, broadcast_dims)
-    return rows.select(*[_output(c, spec).alias(c.name) for c in spec.columns])
+    typed = [_output(c, spec).alias(c.name) for c in spec.columns]
+    if lost is None:
+        return rows.select(*typed)
+    cast = [c for c in spec.columns if c.kind not in UNCAST]
+    beside = rows.select(*typed, *[F.col(c.raw).alias(f"_raw_{c.name}") for c in cast])
+    counts = [F.count_if(is_lost(F.col(f"_raw_{c.name}"), F.col(c.name))).alias(c.name) for c in cast]
+    return beside.observe(lost, *counts).select(*spec.names)
+
+
+def is_lost(raw: Column, typed: Column) -> Column:
+    """Whether a text that is not missing became NULL."""
+    return raw.isNotNull() & (raw != MISSING) & typed.isNull()
 
 
 def _output(column, spec: ReportSpec) -> Column:

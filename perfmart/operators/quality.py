@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perfmart.functions.casts import CASTS, MISSING
-from perfmart.operators.project import drop_header_rows
+from perfmart.functions.casts import CASTS
+from perfmart.operators.project import UNCAST, drop_header_rows, is_lost
 from perfmart.plans.reports import ReportSpec
 
 
@@ -48,6 +49,13 @@ def missing_dates(
     )
 
 
+def rows_by_date(df: DataFrame, date_col: str, start: str, end: str) -> dict[str | None, int]:
+    """Rows of each date of the window, and under ``None`` of all others: a row a date reaches the driver."""
+    day = F.col(date_col).try_cast("date")
+    counted = df.groupBy(F.when(day.between(start, end), day.cast("string")).alias("date")).agg(F.count(F.lit(1)).alias("rows"))
+    return {r["date"]: r["rows"] for r in counted.collect()}
+
+
 def count_dates(df: DataFrame, date_col: str, start: str, end: str) -> DataFrame:
     """``(found, expected)``: distinct dates of the window against its length."""
     present = distinct_dates(df, date_col).where(F.col("date").between(start, end))
@@ -72,8 +80,36 @@ def input_readiness(tables: dict[str, DataFrame], run_date: str) -> DataFrame:
     return reduce(DataFrame.union, checks)
 
 
-def _lost(raw: Column, typed: Column) -> Column:
-    return F.count_if(raw.isNotNull() & (raw != MISSING) & typed.isNull())
+def partition_readiness(
+    spark: SparkSession, paths: Mapping[str, str], run_date: str, empty_is_ready: bool = False
+) -> DataFrame:
+    """``(table, ready)``: which stored tables have the run date's partition.
+
+    Only the folder is listed: no file is opened.  ``empty_is_ready`` takes a partition
+    without a file, as a load of no rows by other tools leaves it, for a ready one.
+    """
+
+    def ready(path: str) -> bool:
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+        try:
+            files = listed.load(f"{path.rstrip('/')}/data_date={run_date}").select("path")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return empty_is_ready or not files.isEmpty()
+
+    return spark.createDataFrame([(name, ready(path)) for name, path in paths.items()], "table string, ready boolean")
+
+
+def record_counts(records: DataFrame, bad: str, part: str) -> DataFrame:
+    """``(records, bad, without)``: all records, those that could not be parsed, and the others that lack ``part``."""
+    broken = F.col(bad).isNotNull()
+    return records.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(broken).alias("bad"),
+        F.count_if(~broken & F.col(part).isNull()).alias("without"),
+    )
 
 
 def cast_loss_counts(raw: DataFrame, spec: ReportSpec) -> DataFrame:
@@ -82,8 +118,8 @@ def cast_loss_counts(raw: DataFrame, spec: ReportSpec) -> DataFrame:
     One pass over the data: a sum per cast column, then one row turned into many.
     """
     rows = drop_header_rows(raw, spec.sentinel)
-    cast = [c for c in spec.columns if c.kind not in ("string", "criteria", "lookup")]
-    sums = rows.agg(*[_lost(F.col(c.raw), CASTS[c.kind](F.col(c.raw))).alias(c.name) for c in cast])
+    cast = [c for c in spec.columns if c.kind not in UNCAST]
+    sums = rows.agg(*[F.count_if(is_lost(F.col(c.raw), CASTS[c.kind](F.col(c.raw)))).alias(c.name) for c in cast])
     return sums.unpivot([], [c.name for c in cast], "column", "lost")
 
 

@@ -9,17 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfmart.functions.casts import MISSING
-from perfmart.operators.joins import BROADCAST_ROWS, bounded_join, fits
+from perfmart.operators.joins import BROADCAST_ROWS, fits
 from perfmart.operators.windows import window_bounds
+from perfmart.plans.columns import raw_name
 from perfmart.plans.reports import ReportSpec
 
 REPORTED_STATUSES = ("ENABLED", "PAUSED", "REMOVED")
 
-
-def raw_name(path: str) -> str:
-    """Raw column of a dotted record field; a last part ``type`` becomes ``type_``."""
-    name = path.replace(".", "_")
-    return name + "_" if path.split(".")[-1] == "type" else name
+#: So many codes at most, of all enums together, are looked up in a map.
+MAP_CODES = 20_000
 
 
 def _leaves(schema: T.StructType, prefix: str = "") -> list[str]:
@@ -62,20 +60,34 @@ def decode_enums_by_table(
     df: DataFrame,
     dim: DataFrame,
     fields: Mapping[str, str],
+    max_codes: int = MAP_CODES,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Codes to names with a dimension ``(enum, code, name)``, by left join."""
-    broadcast = fits(dim, max_rows)
+    """Codes to names with a dimension ``(enum, code, name)``.
+
+    While the codes in use fit ``max_codes``, they become one map of maps, a scalar
+    subquery that all fields share: no join, and no shuffle of ``df``.  Beyond that each
+    field is a left join, broadcast up to ``max_rows`` codes; a larger one shuffles both
+    sides and copies neither.  A code with several names takes the least of them.
+    """
+    fields = {column: enum for column, enum in fields.items() if column in df.columns}
+    if not fields:
+        return df
+    used = dim.select("enum", F.col("code").try_cast("int").alias("code"), "name").where(
+        F.col("enum").isin(*sorted(set(fields.values()))) & F.col("code").isNotNull()
+    )
+    if fits(used, max_codes):
+        of_enum = used.groupBy("enum", "code").agg(F.min("name").alias("name")).groupBy("enum").agg(
+            F.map_from_entries(F.collect_list(F.struct("code", "name"))).alias("names")
+        )
+        names = of_enum.agg(F.map_from_entries(F.collect_list(F.struct("enum", "names"))).alias("names")).scalar()
+        return df.withColumns({c: names[F.lit(enum)][F.col(c).try_cast("int")] for c, enum in fields.items()})
     order = df.columns
+    small = fits(used, max_rows)
     for column, enum in fields.items():
-        if column not in order:
-            continue
-        names = dim.where(F.col("enum") == enum).select(
-            F.col("code").try_cast("int").alias("_code"), F.col("name").alias("_name")
-        )
+        side = used.where(F.col("enum") == enum).groupBy(F.col("code").alias("_code")).agg(F.min("name").alias("_name"))
         coded = df.withColumn("_code", F.col(column).try_cast("int")).drop(column)
-        joined = bounded_join(coded, names, "_code", "left", broadcast)
-        df = joined.withColumnRenamed("_name", column).select(*order)
+        df = coded.join(F.broadcast(side) if small else side, "_code", "left").withColumnRenamed("_name", column).select(*order)
     return df
 
 

@@ -577,19 +577,84 @@ LOCATION_FIELDS = {
 }
 LOCATION_PREFIX_LENGTH = 19
 
-# The parts of a record: every raw field begins with one of them.
-RECORD_PARTS = (
-    "ad_group_",
-    "bidding_strategy_",
-    "campaign_",
-    "customer_",
-    "dynamic_search_ads_search_term_view_",
-    "geographic_view_",
-    "metrics_",
-    "paid_organic_search_term_view_",
-    "search_term_view_",
-    "segments_",
-)
+
+def raw_name(path: str) -> str:
+    """Raw column of a dotted record field; a last part ``type`` becomes ``type_``."""
+    name = path.replace(".", "_")
+    return name + "_" if path.split(".")[-1] == "type" else name
+
+
+# FIXED VALUES: the fields that the feeds fetch, by the part of the record they belong to.
+RECORD_FIELDS = {
+    "ad_group": "id name status",
+    "ad_group_ad": """
+        ad.device_preference ad.display_url ad.expanded_text_ad.description ad.expanded_text_ad.description2
+        ad.expanded_text_ad.headline_part1 ad.expanded_text_ad.headline_part2 ad.expanded_text_ad.headline_part3
+        ad.final_mobile_urls ad.final_urls ad.id ad.responsive_search_ad.descriptions
+        ad.responsive_search_ad.headlines ad.text_ad.description1 ad.text_ad.description2 ad.text_ad.headline
+        ad.tracking_url_template ad.url_custom_parameters policy_summary.approval_status status
+    """,
+    "ad_group_criterion": """
+        age_range.type approval_status bid_modifier criterion_id custom_audience.custom_audience
+        custom_intent.custom_intent effective_cpc_bid_micros effective_cpc_bid_source final_mobile_urls final_urls
+        gender.type income_range.type keyword.match_type keyword.text
+        mobile_app_category.mobile_app_category_constant mobile_application.app_id negative parental_status.type
+        placement.url position_estimates.first_page_cpc_micros position_estimates.first_position_cpc_micros
+        position_estimates.top_of_page_cpc_micros quality_info.creative_quality_score
+        quality_info.post_click_quality_score quality_info.quality_score quality_info.search_predicted_ctr status
+        topic.path tracking_url_template type url_custom_parameters user_interest.user_interest_category
+        user_list.user_list webpage.criterion_name youtube_channel.channel_id youtube_video.video_id
+    """,
+    "bidding_strategy": "name",
+    "campaign": """
+        advertising_channel_sub_type advertising_channel_type base_campaign bidding_strategy bidding_strategy_type
+        campaign_budget end_date experiment_type final_url_suffix id manual_cpc.enhanced_cpc_enabled
+        maximize_conversion_value.target_roas name percent_cpc.enhanced_cpc_enabled serving_status start_date status
+        tracking_url_template url_custom_parameters
+    """,
+    "campaign_budget": """
+        amount_micros explicitly_shared has_recommended_budget period recommended_budget_amount_micros
+        total_amount_micros
+    """,
+    "customer": "currency_code descriptive_name id time_zone",
+    "dynamic_search_ads_search_term_view": "headline landing_page search_term",
+    "geographic_view": "country_criterion_id location_type",
+    "metrics": """
+        absolute_top_impression_percentage active_view_cpm active_view_ctr active_view_impressions
+        active_view_measurability active_view_measurable_cost_micros active_view_measurable_impressions
+        active_view_viewability all_conversions all_conversions_by_conversion_date
+        all_conversions_from_interactions_rate all_conversions_value all_conversions_value_by_conversion_date
+        average_cost average_cpc average_cpe average_cpm average_cpv average_page_views average_time_on_site
+        bounce_rate clicks combined_clicks combined_clicks_per_query combined_queries
+        content_budget_lost_impression_share content_impression_share content_rank_lost_impression_share conversions
+        conversions_by_conversion_date conversions_from_interactions_rate conversions_value
+        conversions_value_by_conversion_date cost_micros cost_per_all_conversions cost_per_conversion
+        cost_per_current_model_attributed_conversion cross_device_conversions ctr
+        current_model_attributed_conversions current_model_attributed_conversions_from_interactions_rate
+        current_model_attributed_conversions_from_interactions_value_per_interaction
+        current_model_attributed_conversions_value current_model_attributed_conversions_value_per_cost
+        engagement_rate engagements gmail_forwards gmail_saves gmail_secondary_clicks
+        historical_creative_quality_score historical_landing_page_quality_score historical_quality_score
+        historical_search_predicted_ctr impressions interaction_event_types interaction_rate interactions
+        organic_clicks organic_clicks_per_query organic_impressions organic_impressions_per_query organic_queries
+        percent_new_visitors search_absolute_top_impression_share search_budget_lost_absolute_top_impression_share
+        search_budget_lost_impression_share search_budget_lost_top_impression_share search_click_share
+        search_exact_match_impression_share search_impression_share search_rank_lost_absolute_top_impression_share
+        search_rank_lost_impression_share search_rank_lost_top_impression_share search_top_impression_share
+        top_impression_percentage value_per_all_conversions value_per_all_conversions_by_conversion_date
+        value_per_conversion value_per_conversions_by_conversion_date value_per_current_model_attributed_conversion
+        video_quartile_p100_rate video_quartile_p25_rate video_quartile_p50_rate video_quartile_p75_rate
+        video_view_rate video_views view_through_conversions
+    """,
+    "paid_organic_search_term_view": "search_term",
+    "search_term_view": "search_term status",
+    "segments": """
+        ad_network_type conversion_action_category conversion_action_name date day_of_week device geo_target_city
+        geo_target_metro geo_target_most_specific_location geo_target_region month quarter
+        search_engine_results_page_type search_term_match_type webpage week year
+    """,
+}
+FETCHED_FIELDS = frozenset(raw_name(f"{part}.{field}") for part, fields in RECORD_FIELDS.items() for field in fields.split())
 
 # Record fields that arrive as enum codes, and the enum that names the codes.
 ENUM_FIELDS = {

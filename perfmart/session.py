@@ -1,14 +1,15 @@
-"""Session settings that the wide projections of the reports need.
+"""What jobs need of the session: settings for wide projections, and small results kept for later steps.
 
 They change speed only, never results.
 """
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from perfmart.plans.reports import ReportSpec
 
@@ -39,3 +40,18 @@ def tuned(spark: SparkSession, spec: ReportSpec) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(_HUGE_METHOD, before)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, worked out once and kept in the checkpoint folder, which all executors share.
+
+    That is the folder of ``spark.checkpoint.dir``.  Without it a local session takes a
+    temporary one, and any other works ``df`` out anew each time.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and context.master != "local" and not context.master.startswith("local["):
+            return df
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="perfmart-"))
+    return df.checkpoint()

@@ -46,9 +46,22 @@ def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("account_id string, status string").parquet(path)
 
 
-def read_records(spark: SparkSession, schema: T.StructType | str, path: str, source: str = "json") -> DataFrame:
+#: The text of a record that could not be parsed; NULL in all others.
+BAD_RECORD = "_bad_record"
+
+
+def read_records(
+    spark: SparkSession, schema: T.StructType | str, path: str, source: str = "json", keep_bad: bool = False
+) -> DataFrame:
     """Nested report records: JSON objects, one per line, or files of another source.
 
     From Parquet only the nested fields in use are read, and conditions on them reach the scan.
+    With ``keep_bad`` the text of a broken JSON line is kept in ``BAD_RECORD``, so that it
+    can be counted and left out; else such a line is a record without values.
     """
-    return spark.read.schema(schema).format(source).load(path)
+    reader = spark.read.format(source)
+    if keep_bad:
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        schema = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_RECORD)
+    return reader.schema(schema).load(path)

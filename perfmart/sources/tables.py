@@ -10,12 +10,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MODE = "spark.sql.sources.partitionOverwriteMode"
 
+#: Folders of a chunk among which its customers are dealt.  A rerun of some customers rewrites theirs alone.
+CUSTOMER_BUCKETS = 64
+
 
 @contextmanager
 def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
@@ -28,13 +32,13 @@ def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_MODE, before)
 
 
-def cluster_for_write(df: DataFrame, by: str = "data_date") -> DataFrame:
+def cluster_for_write(df: DataFrame, *by: str) -> DataFrame:
     """Bring each partition's rows together so that it gets few, full files.
 
     The rebalance is adaptive: small dates are combined into one task, and a date
     that holds most of the rows is split over many.
     """
-    return df.hint("rebalance", by)
+    return df.hint("rebalance", *(by or ("data_date",)))
 
 
 def overwrite_partitions(
@@ -92,31 +96,69 @@ def recover_partitions(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
-def write_run(df: DataFrame, path: str, run_date: str) -> None:
+def _bucket(customer: str | None, buckets: int) -> Column:
+    return F.lit(0) if customer is None else F.pmod(F.xxhash64(F.col(customer)), F.lit(buckets)).cast("int")
+
+
+def write_run(df: DataFrame, path: str, run_date: str, customer: str | None = None, buckets: int = CUSTOMER_BUCKETS) -> None:
     """Replace one run of a raw extract, each chunk in few, full files.
 
-    ``df`` has a ``chunk`` column, the part of the run that fetched the row.  The
-    run's folder is overwritten as a whole, so a rerun never leaves old rows,
-    even where it fetches nothing.
+    ``df`` has a ``chunk`` column, the part of the run that fetched the row.  With the
+    column ``customer`` a chunk's customers are dealt into buckets, so that some of them
+    can be replaced later.  The run's folder is overwritten as a whole, so a rerun never
+    leaves old rows, even where it fetches nothing.
     """
     (
-        cluster_for_write(df.drop("data_date"), "chunk")
+        cluster_for_write(df.drop("data_date").withColumn("bucket", _bucket(customer, buckets)), "chunk", "bucket")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .partitionBy("chunk")
+        .partitionBy("chunk", "bucket")
         .parquet(_run_path(path, run_date))
     )
 
 
-def write_chunk(df: DataFrame, path: str, run_date: str, chunk: str) -> None:
+def write_chunk(
+    df: DataFrame, path: str, run_date: str, chunk: str, customer: str | None = None, buckets: int = CUSTOMER_BUCKETS
+) -> None:
     """Replace what one chunk fetched in a run, and nothing else of the run."""
     (
         df.drop("data_date", "chunk")
+        .withColumn("bucket", _bucket(customer, buckets))
         .write.mode("overwrite")
-        .parquet(f"{_run_path(path, run_date)}/chunk={chunk}")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("bucket")
+        .parquet(_chunk_path(path, run_date, chunk))
     )
 
 
+def replace_customers(
+    df: DataFrame, path: str, run_date: str, chunk: str, customer: str, buckets: int = CUSTOMER_BUCKETS
+) -> None:
+    """Replace what one chunk fetched for the customers that ``df`` has rows of.
+
+    All other customers keep their rows, and those of other buckets their files.  A
+    customer whose fetch came back empty has no row in ``df`` and keeps what it had.
+    Only the buckets in question are read, at most ``buckets`` numbers reach the driver,
+    and their old files stay until the new ones are committed.  ``buckets`` must be that
+    of the run.
+    """
+    where = _chunk_path(path, run_date, chunk)
+    fresh = df.drop("data_date", "chunk").withColumn("bucket", _bucket(customer, buckets))
+    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    again = fresh.select(F.col(customer).alias("_customer")).distinct()
+    try:
+        stored = df.sparkSession.read.schema(fresh.schema).parquet(where).where(F.col("bucket").isin(touched))
+        kept = stored.join(again, stored[customer].eqNullSafe(again["_customer"]), "left_anti")
+        rows = kept.select(*fresh.columns).union(fresh)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = fresh
+    overwrite_partitions(rows, where, "bucket")
+
+
 def clear_run(spark: SparkSession, schema: T.StructType, path: str, run_date: str) -> None:
     """Remove all rows of one run of a raw extract."""
     empty = spark.createDataFrame([], schema).withColumn("chunk", F.lit(""))
@@ -125,3 +167,7 @@ def clear_run(spark: SparkSession, schema: T.StructType, path: str, run_date: st
 
 def _run_path(path: str, run_date: str) -> str:
     return f"{path.rstrip('/')}/data_date={run_date}"
+
+
+def _chunk_path(path: str, run_date: str, chunk: str) -> str:
+    return f"{_run_path(path, run_date)}/chunk={chunk}"

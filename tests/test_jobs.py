@@ -1,18 +1,21 @@
 """Writers and jobs on stored tables."""
 
 import datetime as dt
+import pathlib
 from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from perfmart.operators import quality
+from perfmart.operators.carry import merge_clustered, write_tasks
 from perfmart.operators.records import decode_enums
 from perfmart.plans import jobs
 from perfmart.plans.columns import ENUM_FIELDS
 from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, REPORTS, Window
 from perfmart.sources import tables
-from perfmart.sources.raw import read_mart, read_raw
+from perfmart.sources.raw import BAD_RECORD, read_mart, read_raw, read_records
 from test_operators import raw_rows
 
 RUN = "2020-01-31"
@@ -222,3 +225,101 @@ def test_scheduled_load_takes_lag_and_window_from_the_spec(spark, store):
     put_run(spark, spec, store, "2020-01-31", *[day(f"2020-01-{d}", "1") for d in (28, 29, 30, 31)])
     jobs.load_scheduled(spark, spec, store, "2020-02-02", monthly=True)
     assert len(published(spark, spec, store)) == 4
+
+
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_a_rerun_of_some_customers_leaves_the_others_alone(spark, store, tmp_path):
+    path = store.raw_path(CONV)
+    first = raw_rows(spark, CONV, *[day(RUN, str(i)) for i in range(200)], day(RUN, None))
+    chunked = first.withColumn("chunk", F.when(F.col("customer_id") < "5", "0-0").otherwise("0-1"))
+    tables.write_run(chunked, path, RUN, "customer_id")
+    before, was = files_of(tmp_path), rows(read_raw(spark, CONV, path, RUN))
+    again = raw_rows(spark, CONV, day(RUN, "17", metrics_conversions="8"), day(RUN, "17", metrics_conversions="9"), day(RUN, "new"), day(RUN, None))
+    for _ in range(2):
+        tables.replace_customers(again, path, RUN, "0-0", "customer_id")
+        tables.replace_customers(again.where("FALSE"), path, RUN, "0-0", "customer_id")
+    got = rows(read_raw(spark, CONV, path, RUN), "customer_id", "metrics_conversions")
+    assert sum(c not in ("17", "new", None) for c, _ in got) == 199 and len(got) == len(was) + 3
+    assert [v for c, v in got if c == "17"] == ["8", "9"]
+    kept = [f for f in before if f in files_of(tmp_path)]
+    assert len(kept) >= len(before) - 3 and all(files_of(tmp_path)[f] == before[f] for f in kept)
+    tables.replace_customers(again, path, RUN, "7-0", "customer_id")  # a chunk without a row so far
+    assert read_raw(spark, CONV, path, RUN).count() == len(got) + 4
+
+
+def records_of(spark, tmp_path, days, broken=0):
+    lines = [f'{{"campaign":{{"id":{i},"status":{2 + 7 * (i % 5 == 4)}}},"customer":{{"id":{i % 3}}},"segments":{{"date":"{d}"}}}}' for i, d in enumerate(days)]
+    (tmp_path / "records.json").write_text("\n".join([*lines, *['{"campaign":{"id":1,'] * broken]))
+    schema = "campaign struct<id: bigint, status: int>, customer struct<id: bigint>, segments struct<date: string>"
+    return read_records(spark, schema, str(tmp_path / "records.json"), keep_bad=True)
+
+
+def decode_status(df, fields):
+    return decode_enums(df, {"CampaignStatusEnum": {2: "ENABLED"}}, {"campaign_status": "CampaignStatusEnum"})
+
+
+def test_a_fetch_counts_dates_broken_records_and_codes(spark, store, tmp_path):
+    spec = replace(REPORTS["campaign"], daily=Window(3, 1, 1))
+    days = [RUN, "2020-01-30", RUN, "2020-01-30", RUN, "2019-12-01"]
+    records = records_of(spark, tmp_path, days, broken=3)
+    fetched = jobs.ingest(records, spec, decode_status, store.raw_path(spec), RUN)
+    assert fetched == jobs.Fetched(4, frozenset({RUN, "2020-01-30"}), 3, {"campaign_status": 1})
+    assert read_raw(spark, spec, store.raw_path(spec), RUN).count() == 4
+    assert rows(quality.record_counts(records, BAD_RECORD, "campaign")) == [(9, 3, 0)]
+    with pytest.raises(jobs.IncompleteData, match="2020-01-29"):
+        jobs.ingest(records, spec, decode_status, store.raw_path(spec), RUN, check=True)
+    plain = jobs.ingest(records.drop(BAD_RECORD), spec, decode_status, store.raw_path(spec), RUN)
+    assert plain.bad_records == 0 and plain.rows == 4
+
+
+def test_customers_fetched_again(spark, store, tmp_path):
+    spec = replace(REPORTS["campaign"], daily=Window(1, 2, 2))
+    jobs.ingest(records_of(spark, tmp_path, [RUN, RUN, "2020-01-30"]), spec, decode_status, store.raw_path(spec), RUN)
+    again = records_of(spark, tmp_path, [RUN, RUN, "2020-01-30"]).where("customer.id = 1").drop(BAD_RECORD)
+    again = again.withColumn("campaign", F.struct(F.lit(77).alias("id"), F.lit(2).alias("status")))
+    jobs.ingest_customers(again, spec, decode_status, store.raw_path(spec), RUN, "0-0")
+    got = rows(read_raw(spark, spec, store.raw_path(spec), RUN), "customer_id", "campaign_id")
+    assert got == [("0", "0"), ("1", "77"), ("2", "2")]
+
+
+def test_a_load_counts_what_its_casts_lose(spark, store):
+    put_run(spark, CONV, store, RUN, day(RUN, "1", metrics_conversions="x"), day(RUN, "2", metrics_conversions="1.5"), day(RUN, "3"))
+    lost = jobs.load_report(spark, CONV, store, RUN).casts_lost
+    assert lost["conversions"] == 1 and sum(lost.values()) == 1
+    assert len(published(spark, CONV, store)) == 3
+
+
+def test_files_by_date(spark, store):
+    made = spark.range(4000).select(
+        F.when(F.col("id") < 2000, F.lit("2020-01-01")).otherwise(F.date_add(F.lit("2020-01-02"), (F.col("id") % 29).cast("int")).cast("string")).alias("data_date"),
+        "id",
+    ).select("id", "data_date")
+    none = made.where("FALSE")
+    by_date = {r["data_date"]: r["count"] for r in made.groupBy("data_date").count().collect()}
+    merged = merge_clustered(made, none, "data_date", by_date, task_rows=300)
+    path = store.mart + "/t"
+    tables.overwrite_partitions(merged, path, cluster=False)
+    files = {d: len(list((pathlib.Path(path) / f"data_date={d}").glob("*.parquet"))) for d in by_date}
+    assert files.pop("2020-01-01") == 7 and set(files.values()) == {1}  # 2000 rows, 300 each
+    assert merged.count() == 4000 and merged.rdd.getNumPartitions() == 7 + 7 + 1  # one for dates not counted
+
+
+def test_the_tasks_of_a_write():
+    places, tasks = write_tasks({None: 0, "a": 25, "b": 9, "c": 3, "d": 2, "e": 10}, 10, 2)
+    assert places == {None: (0, 1), "a": (1, 3), "e": (4, 1), "b": (5, 1), "c": (6, 1), "d": (6, 1)} and tasks == 7
+    assert write_tasks({None: 25}, 10, 8) == ({None: (0, 3)}, 3)
+
+
+def test_readiness_opens_no_file(spark, store):
+    day_of = lambda n, d: pathlib.Path(f"{store.mart}/{n}/data_date={d}")
+    for name, day_, file in (("full", RUN, "part-0.parquet"), ("empty", RUN, None), ("late", "2020-01-30", "part-0.parquet")):
+        day_of(name, day_).mkdir(parents=True)
+        if file:
+            (day_of(name, day_) / file).write_text("no parquet")
+    paths = {n: f"{store.mart}/{n}" for n in ("full", "empty", "late", "nowhere")}
+    want = {"full": True, "empty": False, "late": False, "nowhere": False}
+    assert dict(rows(quality.partition_readiness(spark, paths, RUN))) == want
+    assert dict(rows(quality.partition_readiness(spark, paths, RUN, empty_is_ready=True))) == want | {"empty": True}

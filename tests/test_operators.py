@@ -196,10 +196,44 @@ def test_key_profile(spark):
 
 def test_no_broadcast_of_many_keys(spark):
     fresh = spark.range(100).selectExpr("id AS acct", f"'{RUN}' AS data_date")
-    few = carry_forward(fresh, mart(spark, *HISTORY), "acct", RUN, RUN, KeyProfile(100, False), 100)
-    many = carry_forward(fresh, mart(spark, *HISTORY), "acct", RUN, RUN, KeyProfile(100, False), 99)
+    few, mapped, many = [
+        carry_forward(fresh, mart(spark, *HISTORY), "acct", RUN, RUN, KeyProfile(100, False), most, size)
+        for most, size in ((100, 0), (99, 1 << 20), (99, 0))
+    ]
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert "broadcast" in plan(few) and "broadcast" not in plan(many)
+    # The bitmaps are broadcast, so the published rows are not shuffled.
+    assert "bitmap_construct_agg" in plan(mapped) and "LeftAnti" not in plan(mapped)
+    text = mapped._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and text.count("Exchange hashpartitioning") <= 2  # distinct ids, then their bitmaps
+
+
+@pytest.mark.parametrize("size", [0, 1 << 20])
+def test_bitmaps_equal_a_literal_not_in(spark, size):
+    ids = [0, 1, 7, 8, 32767, 32768, 32769, 65536, 10**10, 10**10 + 5, -1, -5, -32768, -32769, 2**62, None]
+    fresh = spark.createDataFrame([(i,) for i in ids[::2]] * 2, "acct bigint").where("acct IS NOT NULL")
+    history = spark.createDataFrame([(i, str(i), RUN) for i in ids], "acct bigint, name string, data_date string")
+    got = carry_forward(fresh, history, "acct", RUN, RUN, max_broadcast=0, max_bitmap_bytes=size)
+    fresh.createOrReplaceTempView("batch")
+    history.createOrReplaceTempView("published")
+    assert rows(got) == rows(spark.sql("SELECT * FROM published WHERE acct NOT IN (SELECT acct FROM batch)"))
+    as_text = lambda df: df.withColumn("acct", F.col("acct").cast("string"))
+    assert rows(carry_forward(as_text(fresh), as_text(history), "acct", RUN, RUN, max_broadcast=0), "name") == rows(got, "name")
+
+
+@pytest.mark.parametrize("max_rows", [0, 1000])
+def test_a_large_dimension_meets_distinct_ids_only(spark, max_rows):
+    fact = spark.range(200).selectExpr("cast(id % 50 as string) as city", "id", "repeat('x', 100) as wide")
+    fact = fact.union(spark.createDataFrame([("None", -1, ""), (None, -2, "")], "city string, id bigint, wide string"))
+    dim = spark.createDataFrame([(i, f"c{i}") for i in range(5, 60)] + [(7, "again")], "id bigint, cannonicalname string")
+    named = lookup_names(fact, {"city": dim}, {"city": F.col("city")}, False, max_rows)
+    assert named.count() == 45 * 4 + 4 and rows(named.where("id = 7"), "city_name") == [("again",), ("c7",)]
+    text = named._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in text.splitlines() if "Exchange" in line and "wide" in line]
+    assert ("BroadcastExchange" in text) == (max_rows > 0)
+    if max_rows:
+        # All exchanges are below the broadcast; the wide rows are on the other side of the join.
+        assert text.count("Exchange hashpartitioning") <= 2 and not wide
 
 
 def test_merge_is_by_position_and_removes_all_copies(spark):

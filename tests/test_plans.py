@@ -34,8 +34,9 @@ def test_daily_load_prunes_partitions_and_shuffles_rows_once(stored):
     raw, mart = stored
     text = plan(run_report(raw, mart, SPEC, RUN))
     filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
-    assert len(filters) == 3 and all("data_date" in f for f in filters)
+    assert len(filters) == 2 and all("data_date" in f for f in filters)
     assert text.count("Exchange hashpartitioning(ad_network_type") == 1
+    assert "Scan ExistingRDD" in text  # the accounts, kept from the job that counted them
     assert "LeftAnti" in text and "NestedLoop" not in text and "CartesianProduct" not in text
 
 
@@ -45,13 +46,13 @@ def test_merge_and_write_share_one_shuffle_and_the_keys_are_held(stored):
     profile = profile_keys(fresh, SPEC.account, hold=True)
     try:
         carried = carry_forward(fresh, mart, SPEC.account, RUN, RUN, profile)
-        text = plan(merge_clustered(fresh, carried, "data_date", 30_000_000))
+        text = plan(merge_clustered(fresh, carried, "data_date", {"2020-01-30": 30_000_000, RUN: 5}))
     finally:
         profile.release()
     # Below the relation is the one job of the keys; above it all that is left of the load.
     load, held, _ = text.partition("InMemoryRelation")
     assert held and load.count("FileScan") == 2
-    assert re.findall(r"Exchange (\w+)\((\w+)#\w+, (\w+)#", load) == [("hashpartitioning", "data_date", "_salt")]
+    assert len(re.findall(r"Exchange \w+\(.*_task", load)) == 1
     assert re.findall(r"(\w*Exchange) ", load) == ["Exchange", "BroadcastExchange"]
 
 

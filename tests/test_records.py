@@ -40,13 +40,13 @@ def test_flatten_reads_json_records(spark, tmp_path):
     assert raw_name("ad_group_criterion.type") == "ad_group_criterion_type_"
 
 
-@pytest.mark.parametrize("max_rows", [100, 0])
-def test_decode_by_map_and_by_table(spark, max_rows):
+@pytest.mark.parametrize("limits", [{}, {"max_codes": 0}, {"max_codes": 0, "max_rows": 0}])
+def test_decode_by_map_and_by_table(spark, limits):
     df = spark.createDataFrame([(1, 2), (2, 9), (3, None)], "campaign_id int, campaign_status int")
     fields = {"campaign_status": "Status", "not_there": "Status"}
     by_map = decode_enums(df, {"Status": {2: "ENABLED", 3: "PAUSED"}}, fields)
     dim = spark.createDataFrame([("Status", 2, "ENABLED"), ("Other", 9, "x")], "enum string, code int, name string")
-    by_table = decode_enums_by_table(df, dim, fields, max_rows)
+    by_table = decode_enums_by_table(df, dim, fields, **limits)
     assert rows(by_map) == rows(by_table) == [(1, "ENABLED"), (2, None), (3, None)]
     name = lambda d: decode_enums(d, {"Status": {2: "ENABLED", 3: "PAUSED"}}, fields)
     assert rows(quality.decode_loss_counts(df, name, ["campaign_status"])) == [("campaign_status", 1)]
@@ -85,3 +85,16 @@ def test_source_filter(spark):
     assert rows(source_filter(df, spec, "2020-01-31", 30)) == [
         ("ENABLED", "2020-01-31"), ("REMOVED", "2020-01-02")
     ]
+
+
+def test_all_fields_are_decoded_without_a_join(spark):
+    fields = {f"f{i}": f"Enum{i % 28}" for i in range(32)}
+    df = spark.createDataFrame([tuple(range(32)), tuple(None for _ in range(32))], ", ".join(f"f{i} int" for i in range(32)))
+    dim = spark.createDataFrame([(f"Enum{e}", c, f"{e}:{c}") for e in range(28) for c in range(40)] + [("Enum0", 0, "0:z")], "enum string, code int, name string")
+    got = decode_enums_by_table(df, dim, fields)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text.split("Subquery")[0] and text.count("Join") == 0
+    assert rows(got) == rows(decode_enums_by_table(df, dim, fields, max_codes=0))
+    first = got.where("f1 IS NOT NULL").first()
+    assert [first[f] for f in fields] == [f"{i % 28}:{i}" for i in range(32)]
+    assert decode_enums_by_table(df, dim, {"x": "Enum0"}) is df

@@ -1,7 +1,7 @@
 import pytest
 
 from perfmart.operators.windows import chunk_days, lookback_of
-from perfmart.plans.columns import ENUM_FIELDS, RECORD_PARTS
+from perfmart.plans.columns import ENUM_FIELDS, FETCHED_FIELDS, raw_name
 from perfmart.plans.reports import BACKFILLS, CONVERSION_SLICES, PERFORMANCE_SLICES, REPORTS, Window
 
 WIDTHS = {
@@ -18,7 +18,7 @@ def test_there_are_26_reports_and_28_backfills():
 
 
 @pytest.mark.parametrize("name", REPORTS)
-def test_columns(name):
+def test_columns(spark, name):
     spec = REPORTS[name]
     assert len(spec.columns) == WIDTHS[name]
     assert len(set(spec.names)) == len(spec.names)
@@ -57,9 +57,12 @@ def test_skipped_checks_and_enums():
     assert len(ENUM_FIELDS) == 32 and len(set(ENUM_FIELDS.values())) == 28
 
 
-def test_raw_fields_are_parts_of_a_record():
+def test_raw_fields_are_fetched():
+    assert len(FETCHED_FIELDS) == 200
     for spec in [*REPORTS.values(), *BACKFILLS.values()]:
-        assert all(f.startswith(RECORD_PARTS) for f in spec.raw_fields), spec.name
+        assert set(spec.raw_fields) | set(spec.statuses) <= FETCHED_FIELDS, spec.name
+    assert {raw_name(f) for f in ENUM_FIELDS} <= FETCHED_FIELDS
+    assert "campaign_nmae" not in FETCHED_FIELDS and "ad_group_criterion_type_" in FETCHED_FIELDS
     assert REPORTS["topic"].criteria == "ad_group_criterion_topic_path"
 
 
