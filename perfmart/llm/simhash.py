@@ -91,7 +91,7 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Labels after joining a[i] and b[i]: every label is the least index of its set."""
     while True:
         x, y = label[a], label[b]
@@ -141,7 +141,7 @@ def forest(x: np.ndarray, radius: int) -> np.ndarray:
                 continue
             if depth < 0:
                 near = (node > q) & (np.bitwise_count(x[q] ^ x[node]) <= radius)
-                label = _merge(label, q[near], node[near])
+                label = merged(label, q[near], node[near])
                 continue
             mask, pattern, ends = levels[depth]
             near = (ends[node] > q + 1) & (np.bitwise_count((x[q] ^ pattern[node]) & mask[node]) <= radius)
@@ -169,7 +169,7 @@ def _linked(block: np.ndarray, fp: np.ndarray, group: np.ndarray, radius: int) -
     small = np.repeat(sizes <= LEAF, sizes)
     for step in range(1, int(min(LEAF, sizes.max(initial=1)))):  # a group that is one leaf
         a = np.flatnonzero(small[:-step] & (group[step:] == group[:-step]) & (np.bitwise_count(x[step:] ^ x[:-step]) <= radius))
-        root = _merge(root, a, a + step)
+        root = merged(root, a, a + step)
     for start, size in zip(starts[sizes > LEAF], sizes[sizes > LEAF], strict=True):
         root[start : start + size] = start + forest(x[start : start + size], radius)
     moved = np.flatnonzero(root != np.arange(len(x)))

@@ -10,8 +10,8 @@ prefix and then by hashes of their surroundings, which brings equal ones togethe
    also occurs in the batch with a smaller id is settled there and not passed on, so a
    passage that very many documents share leaves each batch once.  A pass before counts the
    prefixes that are frequent in batches; those with far more than their share are hot.
-2. The arrays are dealt by prefix, those of a hot prefix by their surroundings too.  Each task adds them one after another to a family of
-   levels; levels of equal size are merged, and each merge settles the suffixes whose
+2. The arrays are dealt by prefix, those of a hot prefix by their surroundings too.  Each
+   task adds them one after another to a family of levels; levels of equal size are merged, and each merge settles the suffixes whose
    stretch is in the other level with a smaller id.  What is left meets where prefix and
    at least WINDOW - PREFIX over 2 further bytes on one side agree, as they must if any
    window does: these suffixes are asked for byte by byte, and so are all of a hot prefix.
@@ -24,7 +24,8 @@ Hashes of 64 bits stand for strings, always two independent ones (prefix and who
 or prefix and window), 128 bits in all.
 
 Edge cases: a null text counts as empty; a document without an id is neither changed nor
-compared; rows of one id are one document and do not remove each other's text; texts
+compared; rows of one id are one document and do not remove each other's text; of rows
+equal in id and text each task looks at one, so they cost no more than being read; texts
 shorter than WINDOW stay; an empty table gives an empty one.
 """
 
@@ -63,6 +64,8 @@ LONG_BYTES = 1 << POSITION_BITS
 
 #: What a row is: a suffix or stretch in question, a settled stretch, or one in question whose prefix is hot.
 OPEN, SETTLED, HOT = 0, 1, 2
+#: Room for a state beside a place, of two bits.
+STATES = 4
 SUFFIX = T.StructType([T.StructField(n, T.LongType()) for n in ("gram", "whole", "doc_id", "check", "place", "around")] + [T.StructField("state", T.ByteType())])
 FOUND = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "check", "gram", "first", "last")] + [T.StructField("state", T.ByteType())])
 
@@ -204,6 +207,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "_check", F.coalesce("text", F.lit("")).alias("text")).filter("doc_id IS NOT NULL")
 
 
+def _once(batch: pa.RecordBatch, seen: set[tuple[int, int]]) -> pa.RecordBatch:
+    """The rows of (doc_id, check, ...) that the task has not seen: what is repeated is the same document."""
+    new = []
+    for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        new.append(key not in seen)
+        seen.add(key)
+    return batch if all(new) else batch.filter(pa.array(new))
+
+
 def hot_prefixes(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The prefixes (gram) of far more suffixes than their share, at most 2^HOT_BITS of them.
 
@@ -212,8 +224,9 @@ def hot_prefixes(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            array = _array(batch)
+            array = _array(_once(batch, seen))
             if array is None:
                 continue
             p, order, known = array
@@ -234,8 +247,9 @@ def suffix_arrays(docs: DataFrame) -> DataFrame:
     """Each batch's suffixes that it does not settle itself, and the stretches that it does."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
-            array = _array(batch)
+            array = _array(_once(batch, seen))
             if array is None:
                 continue
             p, order, known = array
@@ -333,10 +347,21 @@ def match(suffixes: DataFrame, hot: DataFrame) -> DataFrame:
             yield _found_rows(doc, check, gram, at - ((place >> 8) & 255), at - (place & 255), state)
 
     is_hot = (F.col("state") == OPEN) & F.col("_hot").isNotNull()
-    marked = suffixes.join(F.broadcast(hot.select("gram", F.lit(True).alias("_hot"))), "gram", "left").select(
-        *SUFFIX.names[:-1], F.when(is_hot, F.lit(HOT)).otherwise(F.col("state")).cast("byte").alias("state")
+    state = F.when(is_hot, F.lit(HOT)).otherwise(F.col("state"))
+    # Short numbers share a column while they are shuffled: check (32 bits) and around (32 bits), place and state.
+    packed = suffixes.join(F.broadcast(hot.select("gram", F.lit(True).alias("_hot"))), "gram", "left").select(
+        "gram",
+        "whole",
+        "doc_id",
+        F.shiftleft("check", 32).bitwiseOR(F.col("around")).alias("sides"),
+        (F.col("place") * STATES + state).alias("place"),
+    )
+    around, state = F.col("sides").bitwiseAND(F.lit((1 << 32) - 1)), F.pmod("place", F.lit(STATES))
+    dealt = packed.repartition(F.xxhash64("gram", F.when(state == HOT, around)))
+    unpacked = dealt.select(
+        "gram", "whole", "doc_id", F.shiftrightunsigned("sides", 32).alias("check"), F.shiftright("place", 2).alias("place"), around.alias("around"), state.cast("byte").alias("state")
     )
-    return marked.repartition(F.xxhash64("gram", F.when(F.col("state") == HOT, F.col("around")))).mapInArrow(run, FOUND)
+    return unpacked.mapInArrow(run, FOUND)
 
 
 def _settled(found: list[Level]) -> Iterator[pa.RecordBatch]:
@@ -370,10 +395,12 @@ def windows(docs: DataFrame, questions: DataFrame) -> DataFrame:
 
     `gram` is the key by which equal windows meet.
     """
-    asked = questions.groupBy("doc_id", F.col("check").alias("_check")).agg(F.collect_list(F.struct("gram", "first", "last", "state")).alias("asked"))
+    asked = questions.groupBy("doc_id", F.col("check").alias("_check")).agg(F.collect_set(F.struct("gram", "first", "last", "state")).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
+            batch = _once(batch, seen)
             hot: list[Level] = []
             for i in np.flatnonzero(np.asarray(batch.column(3).is_valid())).tolist():
                 sums = Prefixes(np.frombuffer(batch.column(2)[i].as_py().encode(), np.uint8))

@@ -6,7 +6,7 @@ from perfmart.llm.shared import staged
 from pyspark.sql import functions as F
 from test_decontaminate import brute as leaks
 from test_mixing import shares
-from test_simhash import brute_fingerprint, brute_groups
+from test_near_copies import brute as first_copies
 from data import docs, none, small  # noqa: F401
 
 
@@ -23,8 +23,7 @@ def test_stages_against_brute_force(spark, small):
     passed = {r["doc_id"] for r in quality_rules.judged(docs, rules).filter("_kept").collect()}
     assert set(texts[1]) == passed
 
-    groups = brute_groups({i: brute_fingerprint(t) for i, t in texts[1].items()})
-    assert set(texts[2]) == set(groups.values())
+    assert set(texts[2]) == first_copies(texts[1])
 
     items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()}
     assert set(texts[3]) == set(texts[2]) - {d for d, _ in leaks(texts[2], items)}

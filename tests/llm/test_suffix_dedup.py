@@ -122,3 +122,20 @@ def test_stretches_with_equal_sides_differ_in_64_bits():
         least[w] = min(d, least.get(w, d))
     assert len(set(wholes)) > 6_000
     assert known.tolist() == [bool(doc[k] > least[wholes[k]]) for k in order.tolist()]
+
+
+def test_repeated_rows_cost_no_more_than_being_read(spark, monkeypatch):
+    rng = random.Random(13)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    shared = draw(120)
+    rows = [(1, draw(50) + shared + draw(50)), (2, draw(70) + shared[10:110] + draw(30)), (3, draw(200))]
+    repeated = rows[0]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    many = frame.union(spark.range(20_000).select(F.lit(repeated[0]), F.lit(repeated[1]))).repartition(4)
+    asked, windows = [], suffix_dedup.windows
+    monkeypatch.setattr(suffix_dedup, "windows", lambda *a: asked.append(windows(*a)) or asked[-1])
+    want = {r[0]: r for r in brute(rows)}
+    found = suffix_dedup.deduplicate(many).groupBy("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").count().collect()
+    assert {tuple(r)[0]: tuple(r)[:5] for r in found} == want
+    assert {r["doc_id"]: r["count"] for r in found} == {1: 20_001, 2: 1, 3: 1}
+    assert asked[0].count() < 500
