@@ -30,18 +30,22 @@ from perfmart.llm.shared import staged
 KINDS = ("email", "ip", "card", "phone")
 #: FIXED VALUES: the base patterns.
 DOMAIN = re.compile(r"@([A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+)")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: An address is four numbers between points; runs of digits and points are cut at the points.
+NUMBERS = re.compile(r"[0-9.]+")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 #: Wider candidates: written-out addresses, national phone numbers, and grouped card numbers.
 WIDER = (
-    ("email", re.compile(r"\b[A-Za-z0-9._%+-]+\s?(?:\(at\)|\[at\]|\sat\s)\s?[A-Za-z0-9-]+(?:\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?[A-Za-z0-9-]+)+")),
     ("phone", re.compile(r"(?<![0-9+.])(?:\([0-9]{3}\)\x20?|[0-9]{3}[-.\x20])[0-9]{3}[-.\x20][0-9]{4}(?![0-9])")),
     ("phone", re.compile(r"(?<![0-9+])00[1-9][0-9]{0,2}[\x20-][0-9]{2,4}[\x20-][0-9\x20-]{5,9}[0-9](?![0-9])")),
     ("card", re.compile(r"(?<![0-9-])[0-9]{4}[.\x20-][0-9]{4}[.\x20-][0-9]{4}[.\x20-][0-9]{4}(?![0-9-])")),
 )
+#: A written-out address is a name, one of AT, and a domain; it is found from its AT.
+AT = re.compile(r"\(at\)|\[at\]|\sat\s")
+WRITTEN_DOMAIN = re.compile(r"\s?[A-Za-z0-9-]+(?:\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?[A-Za-z0-9-]+)+")
+BOUNDARY = re.compile(r"\b")
 #: Word lists for the labelling functions; a word before the candidate is compared in lower case.
 BESIDE = {
     "email": {"email", "e-mail", "mail", "mailto", "contact", "correo", "courriel"},
@@ -54,7 +58,7 @@ ENDINGS = {"com", "org", "net", "edu", "gov", "de", "fr", "es", "io", "uk", "inf
 
 LABELLERS = 7
 BITS = 14
-#: Candidates that train the classifier at most (expected).
+#: Candidates that train the classifier at most, the first by a hash of document and span.
 SAMPLE = 20_000
 ROUNDS = 40
 EPOCHS = 5
@@ -90,11 +94,42 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
             at += 1
 
 
+def addresses(text: str) -> Iterator[tuple[int, int, bool]]:
+    """Leftmost runs of four numbers between points that do not overlap, and whether no number is above 255."""
+    for run in NUMBERS.finditer(text):
+        parts, at, k = run.group().split("."), run.start(), 0
+        while k + 3 < len(parts):
+            four = parts[k : k + 4]
+            taken = 4 if all(four) else 1
+            if taken == 4:
+                yield at, at + sum(map(len, four)) + 3, all(map(_at_most_255, four))
+            at += sum(map(len, parts[k : k + taken])) + taken
+            k += taken
+
+
+def written_emails(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a written-out @ that do not overlap."""
+    done = 0
+    for found in AT.finditer(text):
+        end = found.start()
+        if end > done and text[end - 1].isspace():
+            end -= 1
+        first = end
+        while first > done and text[first - 1] in LOCAL_CHARS:
+            first -= 1
+        while first < end and not BOUNDARY.match(text, first):
+            first += 1
+        tail = WRITTEN_DOMAIN.match(text, found.end()) if first < end else None
+        if tail:
+            yield first, tail.end()
+            done = tail.end()
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The base spans by kind, then start; matches that fail their test are dropped."""
     out = [("email", a, b) for a, b in emails(text)]
     if any(d in text for d in "0123456789"):
-        out += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(_at_most_255(p) for p in m.group().split("."))]
+        out += [("ip", a, b) for a, b, small in addresses(text) if small]
         for m in CARD.finditer(text):
             digits = _digits(m.group())
             if 13 <= len(digits) <= 19 and luhn(digits):
@@ -109,19 +144,17 @@ def _at_most_255(part: str) -> bool:
 
 def wider_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Further candidates that overlap neither a base span nor one another."""
-    if "@" not in text and " at " not in text and "at)" not in text and "at]" not in text and not any(d in text for d in "0123456789"):
-        return []
     out: list[tuple[str, int, int]] = []
     taken = bytearray(len(text))
     for _, first, last in base:
         taken[first:last] = b"\1" * (last - first)
-    for kind, pattern in WIDER:
-        if kind == "email" and not re.search(r"\bdot\b|\bat[)\]]|\sat\s\S+\.\S", text):
-            continue
-        for m in pattern.finditer(text):
-            if (kind != "email" or _ending(m.group()) in ENDINGS) and not any(taken[m.start() : m.end()]):
-                taken[m.start() : m.end()] = b"\1" * len(m.group())
-                out.append((kind, m.start(), m.end()))
+    found = [("email", a, b) for a, b in written_emails(text) if _ending(text[a:b]) in ENDINGS]
+    if any(d in text for d in "0123456789"):
+        found += [(kind, m.start(), m.end()) for kind, pattern in WIDER for m in pattern.finditer(text)]
+    for kind, first, last in found:
+        if not any(taken[first:last]):
+            taken[first:last] = b"\1" * (last - first)
+            out.append((kind, first, last))
     return out
 
 
@@ -164,7 +197,7 @@ def features(text: str, kind: str, first: int, last: int) -> list[int]:
     span = text[first:last]
     shape = re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]", "9", span))
     beside = re.findall(r"[^\W\d_]+", text[max(0, first - CONTEXT) : first].lower())[-2:]
-    names = [f"k{kind}", f"s{kind}{shape[:24]}", f"n{kind}{len(_digits(span))}", f"b{text[max(0, first - 1) : first]}", f"a{text[last : last + 1]}"]
+    names = [f"k{kind}", f"s{kind}{shape}", f"n{kind}{len(_digits(span))}", f"b{text[max(0, first - 1) : first]}", f"a{text[last : last + 1]}"]
     names += [f"w{w}" for w in beside] + [f"l{kind}{i}{v}" for i, v in enumerate(votes(text, kind, first, last)) if v]
     return [int.from_bytes(hashlib.blake2b(n.encode(), digest_size=4).digest(), "little") % (1 << BITS) for n in names]
 
@@ -277,7 +310,8 @@ def fit(scanned: DataFrame, size: int = SAMPLE) -> np.ndarray | None:
     counts = np.array([r["count"] for r in counted], float)
     labels = estimate(numbers[:, None] // 3 ** np.arange(LABELLERS) % 3 - 1, counts)
     draw = F.pmod(F.xxhash64("doc_id", "s.span"), F.lit(1 << 30)) / (1 << 30)
-    rows = spans.filter(draw < min(1.0, size / counts.sum())).select("s.pattern", "s.features").collect()
+    drawn = spans.filter(draw < min(1.0, size / counts.sum())).select("s.pattern", "s.features", draw.alias("draw"))
+    rows = drawn.orderBy("draw", "pattern").limit(size).collect()
     if not rows:
         return None
     patterns = np.array([r["pattern"] for r in rows])[:, None] // len(KINDS) // 3 ** np.arange(LABELLERS) % 3 - 1

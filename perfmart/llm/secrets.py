@@ -34,6 +34,8 @@ WIDE = r"[A-Za-z0-9+/_=-]{24,}"
 WIDE_KIND = "generic"
 #: A value that so many owners hold is an example.
 EXAMPLE_OWNERS = 3
+#: So is one that its only owner has in so many repositories.
+EXAMPLE_REPOSITORIES = 10
 
 SPAN = "array<struct<kind:string,rank:int,first:int,last:int,value:string>>"
 
@@ -95,12 +97,12 @@ def scan(docs: DataFrame) -> DataFrame:
 def ownership(candidates: DataFrame) -> DataFrame:
     """For each value's hash its distinct owners and repositories, from rows (_hash, owner, repository).
 
-    Both steps combine before they shuffle, so a value that a third of the corpus holds is
-    spread over the tasks first.
+    Nulls are an owner and a repository of their own.  Copies are combined before each
+    shuffle, so a value that a third of the corpus holds is spread over the tasks first.
     """
-    pairs = candidates.groupBy("_hash", "owner", "repository").agg(F.lit(1).alias("_one"))
-    by_owner = pairs.groupBy("_hash", "owner").agg(F.sum("_one").alias("_repositories"))
-    return by_owner.groupBy("_hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("_repositories").alias("repositories"))
+    return candidates.groupBy("_hash").agg(
+        F.count_distinct(F.struct("owner")).alias("owners"), F.count_distinct(F.struct("repository")).alias("repositories")
+    )
 
 
 def _listed(spans: Column) -> Column:
@@ -135,8 +137,9 @@ def find_secrets(docs: DataFrame, owner: str = "source", repository: str = "doc_
     held = rows.select("_row", F.col("doc_id").alias("repository"), "owner", F.explode(F.concat("_base", "_wide")).alias("_span")).withColumn(
         "_hash", F.sha2("_span.value", 256)
     )
-    judged = held.join(ownership(held), "_hash").select("_row", "_span", "owners")
-    live, example = F.col("owners") == 1, F.col("owners") >= EXAMPLE_OWNERS
+    judged = held.join(ownership(held), "_hash").select("_row", "_span", "owners", "repositories")
+    example = (F.col("owners") >= EXAMPLE_OWNERS) | (F.col("repositories") >= EXAMPLE_REPOSITORIES)
+    live = (F.col("owners") == 1) & ~example
     wide = F.col("_span.kind") == WIDE_KIND
     by_row = judged.groupBy("_row").agg(
         F.collect_list(F.when(wide & live, F.col("_span"))).alias("_added"),

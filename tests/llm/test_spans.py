@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from perfmart.llm import pii, secrets
 from perfmart.llm.queries import QUERIES
@@ -92,6 +94,49 @@ def test_wider_spans_overlap_nothing():
     assert all(a[2] <= b[1] for a, b in zip(found, found[1:], strict=False))
 
 
+OLD_WRITTEN = re.compile(
+    r"\b[A-Za-z0-9._%+-]+\s?(?:\(at\)|\[at\]|\sat\s)\s?[A-Za-z0-9-]+(?:\s?(?:\(dot\)|\[dot\]|\sdot\s|\.)\s?[A-Za-z0-9-]+)+"
+)
+
+
+def test_addresses_found_from_their_middle_are_those_of_the_patterns():
+    rng = random.Random(2)
+    for _ in range(3000):
+        t = "".join(rng.choice([" ", "a", "b.c", " at ", "(at)", "[at]", ".", "com", " dot ", "(dot)", "\n", "é", "-", "%"]) for _ in range(12))
+        assert list(pii.written_emails(t)) == [m.span() for m in OLD_WRITTEN.finditer(t)], t
+        t = "".join(rng.choice("1234.. x") for _ in range(30))
+        found = [m for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)]
+        assert [(a, b) for a, b, _ in pii.addresses(t)] == [m.span() for m in found], t
+        assert [small for *_, small in pii.addresses(t)] == [all(int(x) <= 255 for x in m.group().split(".")) for m in found]
+
+
+def test_written_addresses_of_all_kinds_are_candidates():
+    for t in ("john\nat gmail.com", "john at gmail . com", "john at  gmail.com", "john(at)gmail(dot)com"):
+        assert [k for k, _, _ in pii.wider_spans(t, pii.base_spans(t))] == ["email"], t
+
+
+def test_long_runs_take_little_time():
+    million = 1_000_000
+    for t in ("7" * million, "7" * million + ".", "7." * (million // 2), "a.b-" * (million // 4), "a" * million + " at ", "+1(" * (million // 3), "@" * million, "1 " * (million // 2)):
+        began = time.perf_counter()
+        pii.wider_spans(t, pii.base_spans(t))
+        assert time.perf_counter() - began < 2, t[:10]
+
+
+def test_repositories_of_one_owner_tell_examples_too(spark):
+    template, live = "Qx9kQ2mP7vL4nR8tY1wB5cD7", "Aa1Bb2Cc3Dd4Ee5Ff6Gg7Hh8"
+    rows = [(i, f"here {template}", "one") for i in range(12)] + [(20, f"mine {live}", "one"), (21, f"mine {live}", "one")]
+    got = {r["doc_id"]: r for r in secrets.find_secrets(spark.createDataFrame(rows, FRAME)).collect()}
+    assert all("generic" not in got[i]["spans"] and got[i]["n_example"] == 1 for i in range(12))
+    assert all("generic" in got[i]["spans"] and (got[i]["n_live"], got[i]["n_example"]) == (0, 0) for i in (20, 21))
+
+
+def test_owners_and_repositories_are_counted_once(spark):
+    held = [("h", "a", 1), ("h", "a", 1), ("h", "b", 1), ("h", "b", 2), ("h", None, None), ("i", None, 7)]
+    got = {r["_hash"]: (r["owners"], r["repositories"]) for r in secrets.ownership(spark.createDataFrame(held, "_hash string, owner string, repository long")).collect()}
+    assert got == {"h": (3, 3), "i": (1, 1)}
+
+
 def test_ownership_tells_examples_from_live_secrets(spark, none):
     live, example = "Qx9kQ2mP7vL4nR8tY1wB5cD7", "Aa1Bb2Cc3Dd4Ee5Ff6Gg7Hh8"
     rows = [(i, f"here {example} and token=sharedvalue", f"s{i % 4}") for i in range(12)] + [(20, f"mine {live} token=onlymine99", None)]
