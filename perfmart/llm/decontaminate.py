@@ -5,6 +5,8 @@ a multi-index: 8 blocks of 16 bits, and since two fingerprints within RADIUS bit
 in at most RADIUS // 8 bits of some block, probing each block with that many flips finds
 all of them.  What is found is verified exactly: the share of the item's five-word
 shingles, each weighing as often as it occurs, that the window has, must be SIMILARITY.
+Bits of a shingle that an item repeats move together, so its windows may lie further off
+than RADIUS; such items are verified against every window that holds enough shingles.
 
 Windows that cannot pass are never fingerprinted: one that is similar enough holds at
 least that share of positions whose shingle belongs to an item of its size, so the
@@ -16,7 +18,7 @@ shipped to the tasks; the documents are never shuffled.
 Words are runs of letters and digits, A-Z as a-z, so that punctuation does not hide a
 passage.  Edge cases: items of fewer than five words cannot be told from prose and match
 nothing, like null and empty ones; null and short texts match nothing; equal items each
-report; repeated rows report again; other columns pass through `drop_contaminated`.
+report; repeated rows report again; other columns, of any name, pass through `drop_contaminated`.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfmart.llm.bytewords import Words, mix, slices, words_of
+from perfmart.llm.shared import plain_names
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -89,9 +92,11 @@ class Index:
     members: list[np.ndarray]
     starts: list[np.ndarray]
     probes: np.ndarray
+    #: By size the items with a shingle that occurs more than once.
+    repeating: dict[int, np.ndarray]
 
     def near(self, fingerprint: np.ndarray, size: int) -> np.ndarray:
-        """Items of a size within RADIUS bits."""
+        """Items of a size within RADIUS bits, and those that the radius says nothing about."""
         found = []
         for b in range(BLOCKS):
             values = (fingerprint[b] ^ self.probes).astype(np.int64)
@@ -100,7 +105,7 @@ class Index:
         items = np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
         items = items[self.sizes[items] == size]
         apart = np.bitwise_count(self.fingerprints[items] ^ fingerprint).sum(axis=1)
-        return items[apart <= RADIUS]
+        return np.union1d(items[apart <= RADIUS], self.repeating.get(size, items[:0]))
 
     def marked(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions whose shingle an item has, and the shingle's number."""
@@ -140,6 +145,10 @@ def build_index(items: list[tuple[int, str | None]]) -> Index | None:
     fingerprints = np.stack(prints)
     members = [np.argsort(fingerprints[:, b], kind="stable") for b in range(BLOCKS)]
     starts = [np.searchsorted(fingerprints[members[b], b].astype(np.int64), np.arange((1 << BLOCK_BITS) + 1)) for b in range(BLOCKS)]
+    repeating: dict[int, list[int]] = defaultdict(list)
+    for item, (size, of_item) in enumerate(zip(sizes, counts, strict=True)):
+        if max(of_item.values()) > 1:
+            repeating[size].append(item)
     return Index(
         [ids for _, ids in texts.values()],
         counts,
@@ -151,6 +160,7 @@ def build_index(items: list[tuple[int, str | None]]) -> Index | None:
         members,
         starts,
         flips(BLOCK_BITS, RADIUS // BLOCKS),
+        {size: np.array(items, np.int64) for size, items in repeating.items()},
     )
 
 
@@ -232,6 +242,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, block_items: int = BLO
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """The rows of `docs` that hold no item, with all their columns."""
+    plain, restored = plain_names(docs, ("doc_id", "text"))
     at = docs.columns.index("text")
     for index in _blocks(benchmark, block_items):
 
@@ -243,5 +254,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_items: int =
                         clean[first_row + r] = False
                 yield batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+        plain = plain.mapInArrow(keep, plain.schema)
+    return restored(plain)

@@ -89,3 +89,17 @@ def test_window_starts_lose_nothing():
         need = decontaminate.needed(size - 4)
         want = [s for s in range(0, 44 - size + 1) if ((at >= s) & (at <= s + size - 5)).sum() >= need]
         assert decontaminate.window_starts(at, size, 0, 44).tolist() == want
+
+
+def test_items_that_repeat_a_shingle(spark):
+    """A window of exactly 0.8 whose missing fifth is one shingle over and over: far off in bits, but similar."""
+    docs, items = {}, {}
+    for i, repeats in enumerate((15, 25, 35)):
+        own = [f"a{i}w{k}" for k in range(4 * repeats)]
+        items[i] = " ".join([*own, *["again"] * (repeats + 4)])
+        docs[i] = "before " + " ".join([*own, *[f"b{i}w{k}" for k in range(repeats + 4)]]) + " after"
+        docs[10 + i] = " ".join([*own[repeats:], *["again"] * (repeats + 4)])
+    want = brute(docs, items)
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminations(frame, bench).collect()} == want
