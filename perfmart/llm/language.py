@@ -32,8 +32,9 @@ EPOCHS = 6
 LEAST_STEPS = 500
 BATCH = 32
 RATE = 4.0
-#: Labelled texts for training and calibration, in all languages together (expected).
+#: Labelled texts for training and calibration at most, in all languages together, and the languages.
 SAMPLE = 4000
+MOST_LANGUAGES = 1000
 CALIBRATION_FOLD = 1
 HELD_OUT_FOLD = 2
 FOLDS = 4
@@ -70,17 +71,17 @@ def fold(doc_id: str = "doc_id"):
 
 
 def labelled_sample(docs: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """Labelled texts outside the held-out fold: about the same number of each language, by a hash of the id."""
+    """At most `size` labelled texts outside the held-out fold: about the same number of each language, by a hash of the id."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold() != HELD_OUT_FOLD))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    usual = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in usual.collect()}
     if not counts:
         return known.select("text", "lang", fold().alias("fold")).limit(0)
-    each = max(20, size // len(counts))
-    share = F.lit(0.0)
-    for lang, n in counts.items():
-        share = F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))).otherwise(share)
+    each = max(1, size // len(counts))
+    shares = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, each / n))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    return known.filter(draw < share).select("text", "lang", fold().alias("fold"))
+    drawn = known.filter(draw < shares[F.col("lang")]).select("text", "lang", fold().alias("fold"), draw.alias("draw")).distinct()
+    return drawn.orderBy("draw", "text", "lang").limit(size).select("text", "lang", "fold")
 
 
 def train(examples: list[tuple[tuple[np.ndarray, np.ndarray], int]], classes: int, seed: int = 7) -> np.ndarray:

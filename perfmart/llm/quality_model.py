@@ -30,7 +30,7 @@ from perfmart.llm.subwords import byte_table, grams
 
 MARKS = "#*$%&|<>!"
 BITS = 15
-#: Texts that train the linear model, by the hash of their id and text (expected number, twice as many at most).
+#: Texts that train the linear model at most, the first by a hash of id and text.
 SAMPLE = 6000
 #: Passes over the sample; a small sample gets more, for so many steps at least.
 EPOCHS = 8
@@ -39,7 +39,8 @@ BATCH = 32
 RATE = 1.0
 ROUNDS = 60
 KEEP_FROM = 0.5
-PRIOR_SHARE = 0.2
+#: The prior weighs as much as so many documents, whatever their number.
+PRIOR_DOCUMENTS = 30.0
 SLICE_BYTES = 1 << 20
 
 TABLE = byte_table(MARKS, fold_case=False)
@@ -116,7 +117,8 @@ class Labels:
 def estimate(patterns: np.ndarray, counts: np.ndarray) -> Labels:
     """Dawid and Skene's model by EM over vote patterns, started from the doubt that any bad vote casts.
 
-    A prior of PRIOR_SHARE of all documents says what the labellers were written for.
+    A prior of PRIOR_DOCUMENTS says what the labellers were written for, so that the classes
+    keep their meaning; how reliable each is, the votes decide.
     """
     bad, good = (patterns < 0).any(axis=1), (patterns > 0).any(axis=1)
     good = np.where(bad, 0.1, np.where(good, 0.95, 0.5))
@@ -127,7 +129,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray) -> Labels:
         for k in range(patterns.shape[1]):
             expected = PRIOR_FAULTS if k < FAULTS else PRIOR_PROSE
             for y, share in ((0, (1 - good) * counts), (1, good * counts)):
-                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 0, 1)]) + PRIOR_SHARE * counts.sum() * np.array(expected[y])
+                seen = np.array([share[patterns[:, k] == v].sum() for v in (-1, 0, 1)]) + PRIOR_DOCUMENTS * np.array(expected[y])
                 chances[k, y] = seen / seen.sum()
         labels = Labels(prior, chances)
         good = labels.posterior(patterns)
@@ -200,9 +202,8 @@ def fit(docs: DataFrame, size: int = SAMPLE) -> tuple[Labels, Scorer] | None:
     share = min(1.0, size / counts.sum())
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
     examples = []
-    for r in docs.filter(draw < share).select("text").filter("text <> ''").toLocalIterator():
-        if len(examples) == 2 * size:  # one row very many times is drawn as a whole
-            break
+    drawn = docs.filter(draw < share).filter("text <> ''").select("text", draw.alias("draw")).distinct()
+    for r in drawn.orderBy("draw", "text").limit(size).toLocalIterator():
         raw = np.frombuffer(r["text"].encode(), np.uint8)
         offsets = np.array([0, len(raw)])
         m = measures(raw, offsets)

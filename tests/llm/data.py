@@ -44,3 +44,17 @@ def none(spark):
 @pytest.fixture(scope="session")
 def small():
     return "/root/testdata/sf0.001"
+
+
+def naive_buckets(text, table, bits):
+    """The buckets of all n-grams of 3 and 4 bytes of a text between blanks whose inner bytes are no blanks, one by one."""
+    from perfmart.llm.subwords import FACTORS
+
+    raw = bytes([32, *(int(table[b]) for b in text.encode()), 32])
+    out = []
+    for at in range(len(raw)):
+        for n in (3, 4):
+            gram = raw[at : at + n]
+            if len(gram) == n and 32 not in gram[1:-1]:
+                out.append((int.from_bytes(gram, "little") * FACTORS[n] % 2**64) >> (64 - bits))
+    return out
