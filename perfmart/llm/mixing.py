@@ -8,8 +8,8 @@ twice.
 
 Edge cases: a null source is a source, the last in order; a null or blank text has size 0
 and takes nothing; rows equal in both id and text have one hash and share their fate, so
-a source's words may miss its target by half of such a group; an empty table gives an
-empty one.
+a source's words may miss its target by half of such a group; columns may have any name;
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perfmart.llm.shared import staged, words
+from perfmart.llm.shared import plain_names, staged, words
 
 HASH_BITS = 60
 LEVEL_BITS = 10
@@ -119,7 +119,6 @@ def plan_mix(rows: DataFrame) -> DataFrame:
 def apply_mix(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """`rows` (with source and _hash) with their source's plan and `copies`."""
     plan = staged(plan, "mix-decided")
-    keep = [rows[c] for c in rows.columns]
     facts = ["source_size", "weight", "target", "whole", "threshold"]
     if plan.count() <= BROADCAST_SOURCES:
         side, match = F.broadcast(plan.alias("p")), F.expr("r.source <=> p.source")
@@ -128,7 +127,6 @@ def apply_mix(rows: DataFrame, plan: DataFrame) -> DataFrame:
         side = plan.withColumn("_salt", salts).alias("p")
         match = F.expr(f"r.source <=> p.source AND pmod(r._hash, {SALTS}) = p._salt")
     joined = rows.alias("r").join(side, match).select(*[F.col(f"r.`{c}`") for c in rows.columns], *[F.col(f"p.{c}").alias(f"_{c}") for c in facts])
-    assert len(keep) == len(rows.columns)
     return joined.withColumn("_copies", F.col("_whole") + F.when(F.col("_hash") < F.col("_threshold"), 1).otherwise(0))
 
 
@@ -148,8 +146,8 @@ def mix_table(docs: DataFrame) -> DataFrame:
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of `docs` as often as it takes them, with the columns of `docs`."""
-    columns = docs.columns
-    rows = staged(with_sizes(docs).select("source", "_size", "_hash"), "mix-rows")
-    taken = apply_mix(with_sizes(docs), plan_mix(rows)).filter("_copies > 0")
+    plain, restored = plain_names(docs, ("doc_id", "text", "source"))
+    rows = staged(with_sizes(plain).select("source", "_size", "_hash"), "mix-rows")
+    taken = apply_mix(with_sizes(plain), plan_mix(rows)).filter("_copies > 0")
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return taken.select(*columns, again.alias("_copy")).drop("_copy")
+    return restored(taken.select(*plain.columns, again.alias("_copy")))

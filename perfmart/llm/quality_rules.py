@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from perfmart.llm.shared import BLANKS, let, staged, words
+from perfmart.llm.shared import BLANKS, let, plain_names, staged, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -266,5 +266,11 @@ def judged(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def kept_documents(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The rows of `docs` that the base rule and `rules` keep; its columns may have any name."""
+    plain, restored = plain_names(docs, ("doc_id", "text"))
+    return restored(judged(plain, rules).filter("_kept"))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> list[Rule]:
     return learn_rules(staged(labelled_sample(docs, labels), "quality-sample"))

@@ -67,5 +67,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plain_names(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """`docs` with every column but those of `used` renamed, and what gives a result of it the old columns back.
+
+    Whatever an operator adds on the way, it meets no name of the table's own.
+    """
+    names = [c if c in used else f"column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda out: out.select(*names).toDF(*docs.columns)
+
+
 def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perfmart.llm.components import components
-from perfmart.llm.shared import staged
+from perfmart.llm.shared import plain_names, staged
 
 RADIUS = 3
 SHINGLE = 3
@@ -241,8 +241,9 @@ def simhash_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group: that of the least id (of repeated rows, one)."""
-    rows = staged(with_fingerprints(docs.select("doc_id", "text")).select("doc_id", "_fp"), "simhash")
-    return keep_winners(with_fingerprints(docs), groups(rows, radius))
+    plain, restored = plain_names(docs, ("doc_id", "text"))
+    rows = staged(with_fingerprints(plain.select("doc_id", "text")).select("doc_id", "_fp"), "simhash")
+    return restored(keep_winners(with_fingerprints(plain), groups(rows, radius)))
 
 
 def keep_winners(marked: DataFrame, decided: DataFrame) -> DataFrame:

@@ -54,3 +54,19 @@ def test_edge_rows_and_empty_tables(spark, docs, none, small):
         out = stage(spark, plain, small)
         assert set(plain.columns) <= set(out.columns) and out.count() <= 3 * docs.count()
         assert stage(spark, none.drop("shard"), small).count() == 0
+
+
+def test_columns_of_any_name_pass_through(spark, docs, small):
+    names = ["_fp", "_key", "_hash", "_size", "_copy", "_copies", "_m", "_w", "_l", "_c", "_kept", "_rule", "column_3", "a.b"]
+    clash = docs.drop("shard", "slot")
+    for i, name in enumerate(names):
+        clash = clash.withColumn(name, F.concat(F.lit(f"{i}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    clash = staged(clash, "clash")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, clash, small)
+        assert kept.columns == clash.columns
+        plain = stage(spark, clash.select("doc_id", "text", "lang", "source", "n_chars"), small)
+        ids = lambda df: Counter(r["doc_id"] for r in df.collect())
+        assert ids(kept) == ids(plain), name
+        for r in kept.collect():
+            assert [r[n] for n in names] == [f"{i}:{'none' if r['doc_id'] is None else r['doc_id']}" for i in range(len(names))]
