@@ -637,6 +637,7 @@ def _(t):
 
 @query("cast_loss_counts", _lost_sql(KEYWORD))
 def _(t):
+    tune(t.spark, KEYWORD)
     raw = views.raw_all(t, KEYWORD).union(views.header_rows(t, KEYWORD))
     return quality.cast_loss_counts(raw, KEYWORD)
 
@@ -735,6 +736,17 @@ def _(t):
     return _contents(t, table)
 
 
+@query("window_published_at_once", _REVISED_SQL)
+def _(t):
+    view, root = _new_table(t, "window")
+    tables.publish_window(views.mart_history(t, CONV, monthly=True), view, root)
+    tables.publish_window(_revised(t), view, root)
+    shown, path = t.spark.table(view), scratch_path(t.spark, "contents")
+    shown.write.parquet(path)
+    t.spark.sql("DROP VIEW IDENTIFIER(:view)", args={"view": view})
+    return t.spark.read.schema(shown.schema).parquet(path)
+
+
 def _partly_registered(t: Tables, name: str) -> str:
     """A table whose later months were written by path, past the catalog."""
     table, path = _new_table(t, name)

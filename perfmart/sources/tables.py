@@ -7,7 +7,9 @@ the session's mode around the call instead.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import uuid
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -82,6 +84,41 @@ def insert_partitions(df: DataFrame, table: str, by: str = "data_date") -> None:
         cluster_for_write(df, by).write.mode("overwrite").insertInto(table)
 
 
+def publish_window(df: DataFrame, view: str, root: str, by: str = "data_date") -> None:
+    """Replace the partitions that ``df`` has rows for, all at once for the readers of a view.
+
+    The rows go to a folder of their own under ``root``.  Then one statement defines the
+    catalog view anew: for each date, the load that holds it.  Whatever ends the job before
+    that leaves every reader with the whole old window, and never with some dates of either.
+    Conditions on the date prune folders as in a table.  Folders that no date names any
+    more may be deleted once no reader is left on them.
+    """
+    spark, root, load = df.sparkSession, root.rstrip("/"), f"r{uuid.uuid4().hex}"
+    cluster_for_write(df, by).write.partitionBy(by).parquet(f"{root}/load={load}")
+    stored = spark.read.schema(f"`{by}` string").parquet(f"{root}/load={load}")
+    dates = [r[by] for r in stored.distinct().collect()]
+    if dates:
+        _switch(spark, view, root, df.columns, by, published_loads(spark, view) | dict.fromkeys(dates, load))
+
+
+def published_loads(spark: SparkSession, view: str) -> dict[str, str]:
+    """Which load holds each date of a view made by :func:`publish_window`."""
+    if not spark.catalog.tableExists(view):
+        return {}
+    described = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:view)", args={"view": view})
+    text = described.where("col_name = 'View Text'").first()["data_type"]
+    return dict(re.findall(r"'([^']*)', '(r[0-9a-f]{32})'", text))
+
+
+def _switch(spark: SparkSession, view: str, root: str, columns: list[str], by: str, loads: Mapping[str, str]) -> None:
+    if any("'" in date for date in loads) or "`" in root:
+        raise ValueError("dates and paths must not hold quotes")
+    shown = ", ".join(f"CAST(`{c}` AS STRING) AS `{c}`" if c == by else f"`{c}`" for c in columns)
+    held = ", ".join(f"'{date}', '{load}'" for date, load in sorted(loads.items()))
+    name = ".".join(f"`{part}`" for part in view.split("."))
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {shown} FROM parquet.`{root}` WHERE load = map({held})[CAST(`{by}` AS STRING)]")
+
+
 def add_partition(spark: SparkSession, table: str, value: str, by: str = "data_date") -> None:
     """Register a partition of a catalog table unless it is there."""
     spark.sql(

@@ -323,3 +323,33 @@ def test_readiness_opens_no_file(spark, store):
     want = {"full": True, "empty": False, "late": False, "nowhere": False}
     assert dict(rows(quality.partition_readiness(spark, paths, RUN))) == want
     assert dict(rows(quality.partition_readiness(spark, paths, RUN, empty_is_ready=True))) == want | {"empty": True}
+
+
+def test_a_window_is_published_whole_or_not_at_all(spark, store, monkeypatch):
+    rows_of = lambda v, *dates: spark.createDataFrame([(v, d) for d in dates], "v int, data_date string")
+    tables.publish_window(rows_of(1, "2020-01-01", "2020-01-02", "2020-01-03"), "window_v", store.mart)
+    old = [(1, "2020-01-01"), (1, "2020-01-02"), (1, "2020-01-03")]
+    assert rows(spark.table("window_v")) == old
+    later = rows_of(2, "2020-01-02", "2020-01-03", "2020-01-04")
+    switch = tables._switch
+
+    def killed(*a):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(tables, "_switch", killed)
+    with pytest.raises(KeyboardInterrupt):
+        tables.publish_window(later, "window_v", store.mart)
+    assert rows(spark.table("window_v")) == old
+    monkeypatch.setattr(tables, "_switch", switch)
+    tables.publish_window(later.where("FALSE"), "window_v", store.mart)
+    assert rows(spark.table("window_v")) == old
+    tables.publish_window(later, "window_v", store.mart)
+    assert rows(spark.table("window_v")) == [old[0], (2, "2020-01-02"), (2, "2020-01-03"), (2, "2020-01-04")]
+    assert len(set(tables.published_loads(spark, "window_v").values())) == 2
+    text = spark.table("window_v").where("data_date = '2020-01-02'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "data_date" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(spark.table("window_v").where("data_date = '2020-01-02'").select("v").collect()) == 1
+    # The published table is read while its window is replaced.
+    tables.publish_window(spark.table("window_v").withColumn("v", F.col("v") + 1), "window_v", store.mart)
+    assert rows(spark.table("window_v"), "v") == [(2,), (3,), (3,), (3,)]
+    spark.sql("DROP VIEW window_v")
