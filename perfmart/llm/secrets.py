@@ -40,31 +40,64 @@ EXAMPLE_REPOSITORIES = 10
 SPAN = "array<struct<kind:string,rank:int,first:int,last:int,value:string>>"
 
 
-def _spans(text: Column, kind: str, rank: int, pattern: str, group: int = 0) -> Column:
-    """All leftmost matches that do not overlap, with start, end (exclusive) and the value of a group."""
+def _running(numbers: Column) -> Column:
+    """Running sums of an array of whole numbers.
+
+    They are summed in about as many blocks as a block has numbers, so that no array is
+    copied more than that often: a text may hold very many matches.
+    """
+    none = F.array().cast("array<bigint>")
 
-    def placed(pieces: Column, found: Column, values: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    def upto(first: Column, of: Column) -> Column:
+        zero = F.struct(first.alias("at"), none.alias("out"))
 
-        def step(a: Column, x: Column) -> Column:
-            first = a["at"] + F.length(x["0"])
-            last = first + F.length(x["1"])
-            span = F.struct(
-                F.lit(kind).alias("kind"), F.lit(rank).alias("rank"), first.alias("first"), last.alias("last"), x["2"].alias("value")
-            )
-            return F.struct(last.alias("at"), F.concat(a["out"], F.array(span)).alias("out"))
+        def add(a: Column, x: Column) -> Column:
+            return F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out"))
+
+        return F.aggregate(of, zero, add, lambda a: a["out"])
 
-        matched = F.slice(pieces, F.lit(1), F.size(found))
-        return F.aggregate(F.arrays_zip(matched.alias("0"), found.alias("1"), values.alias("2")), zero, step, lambda a: a["out"])
+    def in_blocks(n: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(n))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), width - 1), lambda b: F.slice(n, b * width + 1, width))
+        zero = F.lit(0).cast("bigint")
+        return let(
+            blocks,
+            lambda bs: let(
+                upto(zero, F.transform(bs, lambda block: F.aggregate(block, zero, lambda a, x: a + x))),
+                lambda ends: F.flatten(F.transform(bs, lambda block, i: upto(F.coalesce(F.get(ends, i - 1), zero), block))),
+            ),
+        )
 
+    return F.when(F.size(numbers) == 0, none).otherwise(let(numbers, in_blocks))
+
+
+def _spans(text: Column, kind: str, rank: int, pattern: str, group: int = 0) -> Column:
+    """All leftmost matches that do not overlap, with start, end (exclusive) and the value of a group."""
     quoted = F.lit(pattern)
+
+    def placed(m: Column) -> Column:
+        lengths = F.transform(m["f"], lambda f, i: (F.length(F.get(m["p"], i)) + F.length(f)).cast("bigint"))
+        return let(
+            _running(lengths),
+            lambda ends: F.transform(
+                m["f"],
+                lambda f, i: F.struct(
+                    F.lit(kind).alias("kind"),
+                    F.lit(rank).alias("rank"),
+                    (F.get(ends, i) - F.length(f)).cast("int").alias("first"),
+                    F.get(ends, i).cast("int").alias("last"),
+                    F.get(m["v"], i).alias("value"),
+                ),
+            ),
+        )
+
     return let(
         F.struct(
             F.split(text, pattern).alias("p"),
             F.regexp_extract_all(text, quoted, F.lit(0)).alias("f"),
             F.regexp_extract_all(text, quoted, F.lit(group)).alias("v"),
         ),
-        lambda m: placed(m["p"], m["f"], m["v"]),
+        placed,
     )
 
 

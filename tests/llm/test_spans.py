@@ -4,6 +4,7 @@ import re
 import time
 
 from perfmart.llm import pii, secrets
+from pyspark.sql import functions as F
 from perfmart.llm.queries import QUERIES
 from data import none, small  # noqa: F401
 
@@ -146,3 +147,18 @@ def test_ownership_tells_examples_from_live_secrets(spark, none):
     assert all("generic" not in got[i]["spans"] and got[i]["n_example"] == 2 for i in range(8, 12))
     hold(secrets.find_secrets(frame).collect(), [(i, t) for i, t, _ in frame.collect()], keys, secrets.KINDS)
     assert secrets.find_secrets(none).count() == 0
+
+
+def test_very_many_matches_in_one_text(spark):
+    text = "token=abcdefgh1 " * 30_000
+    frame = spark.createDataFrame([(1, text, "s"), (2, "x", "s")], FRAME)
+    began = time.perf_counter()
+    rows = secrets.find_secrets(frame).collect()
+    assert time.perf_counter() - began < 60
+    hold(rows, [(1, text), (2, "x")], keys, secrets.KINDS)
+
+
+def test_running_sums(spark):
+    for n in (0, 1, 2, 3, 4, 5, 9, 10, 17, 100):
+        frame = spark.range(1).select(F.lit(list(range(n))).cast("array<bigint>").alias("n") if n else F.array().cast("array<bigint>").alias("n"))
+        assert frame.select(secrets._running(F.col("n"))).first()[0] == [sum(range(k + 1)) for k in range(n)]
