@@ -6,10 +6,14 @@ source's threshold: nothing is sorted.  The thresholds for 1, 2 and 3 copies are
 source that needs 1.4 times its words takes every row once and those below the threshold
 twice.
 
+Rows that are equal are counted, and the copies are numbered in parts of at most CHUNK;
+the number enters the hash, so a threshold can end inside a row that is a third of the
+table, and no task gets all its copies.
+
 Edge cases: a null source is a source, the last in order; a null or blank text has size 0
-and takes nothing; rows equal in both id and text have one hash and share their fate, so
-a source's words may miss its target by half of such a group; columns may have any name;
-an empty table gives an empty one.
+and takes nothing; of rows equal in id, text and source only the number that is taken
+counts, and one of them stands for all; columns may have any name; an empty table gives
+an empty one.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ MOST_COPIES = 3
 #: Sources whose plan is broadcast; more are joined by source and a part of the hash.
 BROADCAST_SOURCES = 100_000
 SALTS = 64
+#: Copies of a row that a task makes at most.
+CHUNK = 65_536
 
 
 def with_sizes(docs: DataFrame) -> DataFrame:
@@ -35,6 +41,26 @@ def with_sizes(docs: DataFrame) -> DataFrame:
     )
 
 
+def _repeated(rows: DataFrame, times: str, key: str, number: str) -> DataFrame:
+    """Every row as often as its column `times` says, with a number from 0; long runs are spread over tasks."""
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(times) - 1) / CHUNK).cast("long")))
+    last = F.least(F.col(times), (F.col("_part") + 1) * CHUNK) - 1
+    dealt = rows.filter(F.col(times) > 0).withColumn("_part", part).repartition(key, "_part")
+    return dealt.withColumn(number, F.explode(F.sequence(F.col("_part") * CHUNK, last))).drop("_part", times)
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """`rows` with the hash of each but the first of equal rows changed by its number; `_own` tells a source's hashes before that."""
+    counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_times"))
+    again = F.shiftrightunsigned(F.xxhash64("_hash", "_copy"), 64 - HASH_BITS)
+    return (
+        _repeated(counted, "_times", "_hash", "_copy")
+        .withColumn("_own", F.xxhash64("source", "_hash"))
+        .withColumn("_hash", F.when(F.col("_copy") == 0, F.col("_hash")).otherwise(again))
+        .drop("_copy")
+    )
+
+
 def targets(sums: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """Per source: its target, whole copies and the words that a further copy must give.
 
@@ -132,7 +158,7 @@ def apply_mix(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 def mix_table(docs: DataFrame) -> DataFrame:
     """Per document: its size, its source's size and target, and the words that the mix takes of it."""
-    rows = staged(with_sizes(docs).select("doc_id", "source", "_size", "_hash"), "mix-rows")
+    rows = staged(numbered_copies(with_sizes(docs).select("doc_id", "source", "_size", "_hash")), "mix-rows")
     out = apply_mix(rows, plan_mix(rows))
     return out.select(
         "doc_id",
@@ -147,7 +173,20 @@ def mix_table(docs: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: the rows of `docs` as often as it takes them, with the columns of `docs`."""
     plain, restored = plain_names(docs, ("doc_id", "text", "source"))
-    rows = staged(with_sizes(plain).select("source", "_size", "_hash"), "mix-rows")
-    taken = apply_mix(with_sizes(plain), plan_mix(rows)).filter("_copies > 0")
+    hashed = with_sizes(plain)
+    rows = staged(numbered_copies(hashed.select("source", "_size", "_hash")), "mix-rows")
+    plan = staged(plan_mix(rows), "mix-plan")
+    several = rows.groupBy("_own").count().filter("count > 1").select("_own")
+    repeated = staged(apply_mix(rows.join(several, "_own", "left_semi"), plan).groupBy("_own").agg(F.sum("_copies").alias("_times")), "mix-repeated")
+    if repeated.isEmpty():
+        return restored(_copied(apply_mix(hashed, plan)))
+    hashed = hashed.withColumn("_own", F.xxhash64("source", "_hash"))
+    once = _copied(apply_mix(hashed.join(repeated, "_own", "left_anti"), plan))
+    first = hashed.join(repeated, "_own").dropDuplicates(["_own"])
+    return restored(once.select(*plain.columns).unionByName(_repeated(first, "_times", "_hash", "_copy").select(*plain.columns)))
+
+
+def _copied(taken: DataFrame) -> DataFrame:
+    """Rows as often as `_copies` says, 0 to MOST_COPIES times."""
     again = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    return restored(taken.select(*plain.columns, again.alias("_copy")))
+    return taken.filter("_copies > 0").withColumn("_copy", again)

@@ -68,3 +68,26 @@ def test_the_mix_repeats_rows(docs, none):
     assert mixed.count() == sum(r["copies"] for r in table.collect())
     assert table.count() == docs.count()
     assert mixing.mix_table(none).count() == 0 and mixing.mix_documents(none).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [7, 65_536])
+def test_a_threshold_ends_inside_equal_rows(spark, monkeypatch, chunk):
+    monkeypatch.setattr(mixing, "CHUNK", chunk)
+    rows = [(7, "one two three " * 20, "a")] * 300 + [(i, "w " * (1 + i % 9), "ab"[i % 2]) for i in range(100, 300)] + [(9, "x y", None)] * 40
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    table = mixing.mix_table(frame).collect()
+    hold(table, frame.collect())
+    assert len(table) == len(rows) and len({r["taken"] for r in table if r["doc_id"] == 7}) == 2
+    mixed = mixing.mix_documents(frame)
+    words, want = defaultdict(int), defaultdict(int)
+    for r in mixed.collect():
+        words[r["source"]] += len(r["text"].split())
+    for r in table:
+        want[{r2[0]: r2[2] for r2 in rows}[r["doc_id"]]] += r["taken"]
+    target = {r["source_size"]: r["target"] for r in table}
+    sizes = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in ("a", "b", None)}
+    assert all(abs(words[s] - target[sizes[s]]) <= 31 and abs(want[s] - target[sizes[s]]) <= 31 for s in sizes)
+    copies = defaultdict(int)
+    for r in mixed.collect():
+        copies[r["doc_id"]] += 1
+    assert copies[7] <= 900 and all(n <= 3 for i, n in copies.items() if i not in (7, 9))
