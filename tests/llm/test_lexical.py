@@ -51,7 +51,7 @@ def test_query_over_all_documents(spark, small):
     assert "op12_bag_class_search" in ORACLE
 
 
-@pytest.mark.parametrize("block", [1, 2, 512])
+@pytest.mark.parametrize("block", [2, 512])
 def test_ties_copies_and_blocks(spark, block):
     rows = [(i, "alpha beta") for i in range(30)] + [(i, "Alpha beta, other words") for i in range(30, 45)] + [(100, "gamma"), (100, "gamma"), (None, "gamma"), (101, "delta " * 3)]
     items = [(1, "alpha"), (2, "beta gamma"), (3, "nowhere"), (4, None), (5, ""), (6, "DELTA delta"), (1, "delta alpha")]

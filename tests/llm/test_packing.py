@@ -70,7 +70,7 @@ def test_edge_rows_and_real_sequences(docs, none, tokenizer):
 def test_words_seen_before_give_the_ids_of_the_whole_text(tokenizer, monkeypatch):
     monkeypatch.setattr(packing, "SPLIT_CHARS", 50)
     monkeypatch.setattr(packing, "CACHE_WORDS", 20)
-    texts = ["It's  a\ttest, isn't it?", "ÀÉ ŒUVRE don't Σίσυφος ΟΔΟΣ", "a<|endoftext|>b <|startoftext|> c", "x" * 300, None, "", " a b\x0bc\x1cd", "é é ́x", "1234 5.6 日本語 🙂🙂!"]
+    texts = ["It's  a\ttest, isn't it?", "ÀÉ ŒUVRE don't Σίσυφος ΟΔΟΣ", "a<|endoftext|>b <|startoftext|> c", "x" * 300, None, "", " a b\x0bc\x1cd", "é é ́x", "1234 5.6 日本語 🙂🙂!", "a\u00a0b\u2003\u0301c\u3000d\x85e\u2028f\u180eg\u200bh", "a\x1cb c\x1fd"]
     texts += [" ".join(random.Random(1).choices("the of and in WORLD, isn't 42 %% naïve".split(), k=500)), " lead and trail \n"] * 3
     encoder = packing.Encoder(Path(PATH).read_text(), True)
     for _ in range(2):

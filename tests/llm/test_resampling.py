@@ -53,8 +53,7 @@ def test_query_over_all_documents(spark, small):
     assert result(found) == brute(rows, target)
 
 
-@pytest.mark.parametrize("longest", [1, 2, 3])
-@pytest.mark.parametrize("piece", [5, 1 << 20])
+@pytest.mark.parametrize(("longest", "piece"), [(1, 5), (2, 1 << 20), (3, 5)])
 def test_edge_rows_and_longer_runs(spark, docs, none, monkeypatch, longest, piece):
     import perfmart.llm.terms as module
 
@@ -81,12 +80,12 @@ def rows_of_scores(spark, scores):
     return spark.createDataFrame(made, "score long, doc_id long, _part int, _nth long"), sorted(made, key=lambda r: (-r[0], r[1] is None, r[1] or 0, r[2], r[3]))
 
 
-@pytest.mark.parametrize("accuracy", [1, 3, 1000])
+@pytest.mark.parametrize("accuracy", [1, 1000])
 def test_the_cutoff_with_sketches_of_any_accuracy(spark, accuracy):
     rng = random.Random(5)
     for scores in ([rng.randrange(5) for _ in range(400)], [7] * 200, [rng.randrange(10**6) for _ in range(300)] + [3] * 150):
         frame, want = rows_of_scores(spark, scores)
-        for k in (1, 2, 40, len(scores) // 2, len(scores)):
+        for k in (1, 40, len(scores)):
             low, high, above = resampling.bracket(frame, k, len(scores), accuracy, 0.01)
             assert above == sum(s > high for s in scores) and low <= want[k - 1][0] <= high
         assert tuple(resampling.cutoff(frame, 40, len(scores), accuracy, 0.01))[:4] == want[39]
