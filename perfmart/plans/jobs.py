@@ -20,7 +20,7 @@ from perfmart.operators.carry import (
 from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import dims_fit
 from perfmart.operators.project import project
-from perfmart.operators.quality import input_readiness, missing_dates, rows_by_date
+from perfmart.operators.quality import missing_dates, partition_readiness, rows_by_date
 from perfmart.operators.records import (
     flatten_records,
     raw_name,
@@ -391,12 +391,13 @@ def _consolidate(
 ) -> None:
     end = run_date
     start = start or window_bounds(run_date, CONSOLIDATION_LOOKBACK, inclusive_start=True)[0]
-    inputs = {n: read_mart(spark, s, store.mart_path(s)) for n, s in slices.items()}
-    late = input_readiness(inputs, run_date).where(~F.col("ready")).collect()
+    late = partition_readiness(spark, {n: store.mart_path(s) for n, s in slices.items()}, run_date)
+    late = late.where(~F.col("ready")).collect()
     if late:
         names = ", ".join(sorted(r["table"] for r in late))
         raise IncompleteData(f"{table}: no rows of {run_date} in {names}")
-    tables.overwrite_table(consolidate(list(inputs.values()), start, end), table, path)
+    inputs = [read_mart(spark, s, store.mart_path(s)) for s in slices.values()]
+    tables.overwrite_table(consolidate(inputs, start, end), table, path)
 
 
 def consolidate_performance(
