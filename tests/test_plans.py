@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import Observation
 
 from perfmart.operators.carry import carry_forward, merge_clustered, profile_keys
 from perfmart.operators.project import project
-from perfmart.operators.records import flatten_records, record_filter
+from perfmart.operators.records import decode_enums, flatten_records, record_filter
+from perfmart.plans import jobs
 from perfmart.plans.jobs import Store, run_report
 from perfmart.plans.reports import REPORTS
 from perfmart.sources import tables
@@ -83,3 +85,19 @@ def test_conditions_on_nested_records_reach_the_scan(spark, tmp_path):
 def test_writes_are_rebalanced_by_date(stored):
     _, mart = stored
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(tables.cluster_for_write(mart))
+
+
+def test_counts_of_a_fetch_and_a_load_take_no_scan_of_their_own(spark, stored, tmp_path):
+    made = spark.range(3).selectExpr(
+        "struct(cast(id as int) as status, id) as campaign", f"struct('{RUN}' as date, id as device) as segments", "cast(null as string) as _bad_record"
+    )
+    made.write.parquet(str(tmp_path / "records"))
+    records = read_records(spark, made.schema, str(tmp_path / "records"), "parquet")
+    decode = lambda df, fields: decode_enums(df, {"CampaignStatusEnum": {2: "ENABLED"}}, {"campaign_status": "CampaignStatusEnum"})
+    placed, _ = jobs._extract(records, REPORTS["campaign"], decode, RUN, REPORTS["campaign"].daily, None)
+    text = plan(placed)
+    # Broken records, codes without a name, and rows with their dates.
+    assert text.count("FileScan") == 1 and text.count("CollectMetrics") == 3
+    raw, _ = stored
+    text = plan(project(raw, SPEC, RUN, lost=Observation()))
+    assert text.count("FileScan") == 1 and text.count("CollectMetrics") == 1
