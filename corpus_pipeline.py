@@ -2,7 +2,8 @@
 
 Each stage works on what its predecessor kept, and its result is written and read again.
 The stages are the operators of perfmart.llm with their own parameters; the near-duplicate
-stage links by an exact five-word similarity of 0.8 and not by operator 2's contract.
+stage searches operator 2's Gray index with wider fingerprints, of five-word shingles, and
+links what an exact similarity of 0.8 confirms.
 """
 
 from __future__ import annotations

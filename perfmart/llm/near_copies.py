@@ -1,18 +1,18 @@
-"""Near copies by the exact similarity of their five-word shingles: the pipeline's stage.
+"""Near copies by operator 2's index of SimHash fingerprints in Gray order, checked exactly: the pipeline's stage.
 
-Texts whose sets of shingles have a Jaccard similarity of SIMILARITY or more are linked, and
-linked ones form a group.  Operator 2's contract (three-word shingles, 3 of 64 bits) finds few
-such pairs, and at the radius that 0.8 needs no index of fingerprints prunes, so the pairs are
-dealt by shingles instead of blocks of bits, which loses none: in any one order of all shingles,
-similar sets share a shingle among the first fifth of each.
+Texts whose sets of five-word shingles have a Jaccard similarity of SIMILARITY or more are linked,
+and linked ones form a group.  Fingerprints have 256 bits here, since at operator 2's own width
+and radius (three-word shingles, 3 of 64 bits) few such pairs meet.  At the radius that 0.8 needs
+no block of bits has to agree, so the top nodes of the index are shingles instead of blocks, which
+loses none: in any one order of all shingles, similar sets share one among the first fifth of each.
 
 1. Shingles are ordered by hash, but those that very many texts share come last, so that common
    lines deal nothing unless a text is made of them.
-2. Texts that meet at a shingle are first compared with the least one there, which joins much
-   of a large group of near copies by a star.
-3. Of the texts that a shingle brings together and no link has joined yet, those that may be
-   similar are connected: a shingle gives a spanning forest of such pairs, never all of them.
-   Each connected set is then compared as a whole in a task that holds its shingles, and again
+2. In a top node the fingerprints lie in Gray order.  Neighbours there, within the length of a
+   leaf of the index, are looked at first, which joins much of a large group of near copies.
+3. Then every top node that holds texts which no link has joined yet is searched by its Gray
+   index: those that may be similar are connected, by a spanning forest and never by all pairs.
+   Each connected set is compared as a whole in a task that holds its shingles, and again
    a spanning forest of the similar pairs comes out.  So rows grow with the texts of a group
    and not with its pairs.  A connected set of more than BLOCK_SHINGLES shingles is split into
    blocks, every two of which meet in a task of their own.
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from perfmart.llm.bytewords import BASE, mix, slices, words_of
 from perfmart.llm.components import components
 from perfmart.llm.shared import BLANKS, plain_names, staged
-from perfmart.llm.simhash import STEP, groups, keep_winners, merged
+from perfmart.llm.simhash import LEAF, bits_set, forest, gray_rank, groups, keep_winners, merged
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -199,7 +199,7 @@ def similar(docs: DataFrame, pairs: DataFrame, sizes: DataFrame, similarity: flo
 
 
 def meetings(keyed: DataFrame) -> DataFrame:
-    """Of rows (key, node) those of keys with several nodes, each once, and the least node of the key."""
+    """Of rows (key, node) those of keys with several nodes, each once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [batch for batch in batches if batch.num_rows]
@@ -214,42 +214,87 @@ def meetings(keyed: DataFrame) -> DataFrame:
         ends = np.r_[starts[1:], len(key)]
         several = np.repeat(node[starts] != node[ends - 1], ends - starts)
         kept = np.flatnonzero(several & (new | np.r_[True, node[1:] != node[:-1]]))
-        least = np.repeat(node[starts], ends - starts)[kept]
-        yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(node[kept]), pa.array(least)], ["key", "node", "least"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(node[kept])], ["key", "node"])
 
-    return keyed.repartition("key").mapInArrow(run, "key long, node long, least long")
+    return keyed.repartition("key").mapInArrow(run, "key long, node long")
+
+
+GRAY_ROWS = "node long, parent long"
+
+
+def in_gray_order(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, ...] | None:
+    """A partition's rows (key, node, n, bits, root), each once, by key and then by the Gray rank of their fingerprints."""
+    held = [batch for batch in batches if batch.num_rows]
+    if not held:
+        return None
+    table = pa.Table.from_batches(held)
+    key, node, n, root = (table.column(c).to_numpy() for c in ("key", "node", "n", "root"))
+    bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)
+    order = np.lexsort((node, *gray_rank(bits).T[::-1], key))
+    order = order[np.r_[True, (key[order][1:] != key[order][:-1]) | (node[order][1:] != node[order][:-1])]]
+    return tuple(c[order] for c in (key, node, n, bits, root))
+
+
+def _may(a: np.ndarray, b: np.ndarray, n: np.ndarray, root: np.ndarray, similarity: float) -> np.ndarray:
+    """Pairs of different roots whose sizes allow them to be similar."""
+    return (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
+
+
+def _linked_in_leaves(some: np.ndarray, key: np.ndarray, n: np.ndarray, bits: np.ndarray, root: np.ndarray, similarity: float) -> np.ndarray:
+    """Labels after linking what may be similar among the LEAF next rows, in Gray order, of `some` rows and their key."""
+    label, largest = np.arange(len(key)), int(np.diff(np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])).max())
+    for step in range(1, min(LEAF, largest)):
+        a = np.flatnonzero(some[:-step] & (key[step:] == key[:-step]))
+        a = a[_may(a, a + step, n, root, similarity)]
+        near = (np.minimum(n[a], n[a + step]) < LEAST_SHINGLES) | (bits_set(bits[a] ^ bits[a + step]) <= RADIUS)
+        label = merged(label, a[near], a[near] + step)
+    return label
+
+
+def _searched(n: np.ndarray, bits: np.ndarray, root: np.ndarray, similarity: float) -> np.ndarray:
+    """Labels after linking all that may be similar of one key, by searches of its Gray index; small texts have no radius."""
+    label = np.arange(len(n))
+    for part, radius in ((n >= LEAST_SHINGLES, RADIUS), (similarity * n < LEAST_SHINGLES, 64 * WORDS)):
+        at = np.flatnonzero(part)
+        if len(at) > 1:
+            label = merged(label, at, at[forest(bits[at], radius, lambda a, b, at=at: _may(at[a], at[b], n, root, similarity))])
+    return label
+
+
+def _forest_of(node: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    moved = np.flatnonzero(label != np.arange(len(label)))
+    return pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array(node[label[moved]])], ["node", "parent"])
+
+
+def neighbour_edges(meeting: DataFrame, similarity: float) -> DataFrame:
+    """From rows (key, node, n, bits, root): links (node, parent) between neighbours in the Gray order of a key, within a leaf's length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = in_gray_order(batches)
+        if found is not None:
+            key, node, n, bits, root = found
+            yield _forest_of(node, _linked_in_leaves(np.ones(len(key), bool), key, n, bits, root, similarity))
+
+    return meeting.select("key", "node", "n", "bits", "root").repartition("key").mapInArrow(run, GRAY_ROWS).distinct()
 
 
 def open_edges(meeting: DataFrame, similarity: float) -> DataFrame:
     """From rows (key, node, n, bits, root): links (node, parent) that connect, key by key, all nodes of different roots that may be similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch for batch in batches if batch.num_rows]
-        if not held:
+        found = in_gray_order(batches)
+        if found is None:
             return
-        table = pa.Table.from_batches(held)
-        key, node, n, root = (table.column(c).to_numpy() for c in ("key", "node", "n", "root"))
-        bits = table.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)
-        order = np.lexsort((node, key))
-        order = order[np.r_[True, (key[order][1:] != key[order][:-1]) | (node[order][1:] != node[order][:-1])]]
-        key, node, n, bits, root = (c[order] for c in (key, node, n, bits, root))
+        key, node, n, bits, root = found
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        nodes, parents = [], []
-        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(key)], strict=True):
-            label = np.arange(end - start)
-            step = max(1, STEP // (end - start))
-            for at in range(start, end, step):
-                a, b = np.arange(at, min(end, at + step))[:, None], np.arange(at, end)[None, :]
-                may = (b > a) & (root[a] != root[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
-                i, j = (x + at for x in np.nonzero(may))
-                near = (np.minimum(n[i], n[j]) < LEAST_SHINGLES) | (np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= RADIUS)
-                label = merged(label, i[near] - start, j[near] - start)
-            moved = np.flatnonzero(label != np.arange(end - start))
-            nodes.append(node[start + moved])
-            parents.append(node[start + label[moved]])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(parents))], ["node", "parent"])
-
-    return meeting.select("key", "node", "n", "bits", "root").repartition("key").mapInArrow(run, "node long, parent long").distinct()
+        sizes = np.diff(np.r_[starts, len(key)])
+        label = _linked_in_leaves(np.repeat(sizes <= LEAF, sizes), key, n, bits, root, similarity)
+        for start, size in zip(starts[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
+            rows = slice(start, start + size)
+            label[rows] = start + _searched(n[rows], bits[rows], root[rows], similarity)
+        yield _forest_of(node, label)
+
+    return meeting.select("key", "node", "n", "bits", "root").repartition("key").mapInArrow(run, GRAY_ROWS).distinct()
 
 
 def shared_shingles(ends: np.ndarray, values: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -346,9 +391,9 @@ def links(docs: DataFrame, rows: DataFrame, similarity: float = SIMILARITY) -> D
     keyed = rows.filter("n IS NOT NULL").select(F.explode("keys").alias("key"), F.col("_fp").alias("node"))
     meeting = staged(meetings(keyed), "meetings")
     sizes = rows.filter("n IS NOT NULL").select(F.col("_fp").alias("node"), "n", "bits").dropDuplicates(["node"])
-    stars = meeting.filter("node <> least").select("node", F.col("least").alias("parent")).distinct()
-    first = similar(docs, stars, sizes, similarity)
-    roots = staged(components(first), "star-roots")
+    alone = meeting.join(sizes, "node").withColumn("root", F.col("node"))
+    first = similar(docs, neighbour_edges(alone, similarity), sizes, similarity)
+    roots = staged(components(first), "neighbour-roots")
     rooted = meeting.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     several = rooted.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b").select("key")
     rooted = rooted.join(several, "key", "left_semi").join(sizes, "node")

@@ -20,7 +20,7 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -84,13 +84,21 @@ def as_hex(fp: Column) -> Column:
 
 
 def gray_rank(x: np.ndarray) -> np.ndarray:
-    """The position of each code word in the reflected Gray code."""
+    """The position of each code word in the reflected Gray code; wide ones have a column for every 64 bits."""
     x = x.copy()
     for shift in (1, 2, 4, 8, 16, 32):
         x ^= x >> np.uint64(shift)
+    if x.ndim == 2:
+        for k in range(1, x.shape[1]):  # after an odd number of ones the code runs backwards
+            x[:, k] ^= np.uint64(0) - (x[:, k - 1] & np.uint64(1))
     return x
 
 
+def bits_set(x: np.ndarray) -> np.ndarray:
+    """Set bits of each code word, wide ones included."""
+    return np.bitwise_count(x) if x.ndim == 1 else np.bitwise_count(x).sum(axis=1, dtype=np.int64)
+
+
 def merged(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Labels after joining a[i] and b[i]: every label is the least index of its set."""
     while True:
@@ -113,7 +121,7 @@ def gray_index(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     levels, width = [], LEAF
     while True:
         starts = np.arange(0, len(both), width)
-        both, any_ = np.bitwise_and.reduceat(both, starts), np.bitwise_or.reduceat(any_, starts)
+        both, any_ = np.bitwise_and.reduceat(both, starts, axis=0), np.bitwise_or.reduceat(any_, starts, axis=0)
         ends = ends[np.minimum(starts + width, len(ends)) - 1]
         levels.append((~(any_ ^ both), both, ends))
         if len(both) <= FAN:
@@ -121,10 +129,11 @@ def gray_index(x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]
         width = FAN
 
 
-def forest(x: np.ndarray, radius: int) -> np.ndarray:
+def forest(x: np.ndarray, radius: int, may: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> np.ndarray:
     """For fingerprints in Gray order: the least position that each is linked with, over any number of steps.
 
     Queries descend together.  Only later positions are looked at, so that a pair meets once.
+    Of the pairs within the radius `may`, if given, tells which count.
     """
     label = np.arange(len(x))
     levels = gray_index(x)
@@ -140,11 +149,13 @@ def forest(x: np.ndarray, radius: int) -> np.ndarray:
                 work += [(depth, q[:half], node[:half]), (depth, q[half:], node[half:])]
                 continue
             if depth < 0:
-                near = (node > q) & (np.bitwise_count(x[q] ^ x[node]) <= radius)
+                near = (node > q) & (bits_set(x[q] ^ x[node]) <= radius)
+                if may is not None:
+                    near &= may(q, node)
                 label = merged(label, q[near], node[near])
                 continue
             mask, pattern, ends = levels[depth]
-            near = (ends[node] > q + 1) & (np.bitwise_count((x[q] ^ pattern[node]) & mask[node]) <= radius)
+            near = (ends[node] > q + 1) & (bits_set((x[q] ^ pattern[node]) & mask[node]) <= radius)
             q, node = q[near], node[near]
             if not len(q):
                 continue

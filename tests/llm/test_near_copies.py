@@ -4,8 +4,9 @@ from itertools import combinations
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from perfmart.llm import near_copies
+from perfmart.llm import near_copies, simhash
 from data import docs, none, small  # noqa: F401
 
 
@@ -118,3 +119,29 @@ def test_shared_shingles_against_sets(monkeypatch):
             shared[np.arange(len(some)), some] = 0  # a set beside itself is of no interest
             got |= dict(zip(some.tolist(), shared.tolist(), strict=True))
         assert got == {i: [float(len(np.intersect1d(sets[i], s))) * (k != i) for k, s in enumerate(sets)] for i in range(3, 25)}
+
+
+def test_wide_fingerprints_in_gray_order():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 1 << 63, (70, 4), dtype=np.uint64)
+    whole = [sum(int(w) << (64 * (3 - k)) for k, w in enumerate(row)) for row in x]
+    rank = [sum(int(w) << (64 * (3 - k)) for k, w in enumerate(row)) for row in simhash.gray_rank(x)]
+    assert all(r ^ (r >> 1) == w for r, w in zip(rank, whole, strict=True))
+    near = np.concatenate([x, x ^ (rng.random((70, 4)) < 0.5).astype(np.uint64)])
+    near = near[sorted(range(140), key=lambda i: [int(w) for w in simhash.gray_rank(near)[i]])]
+    for radius in (3, 66, 256):
+        label = simhash.forest(near, radius)
+        root = np.arange(140)
+        i, j = np.nonzero(np.triu(np.bitwise_count(near[:, None] ^ near[None]).sum(axis=2) <= radius, 1))
+        assert (label == simhash.merged(root, i, j)).all()
+
+
+@pytest.mark.parametrize("texts", [edited(), large_group()])
+def test_the_stage_searches_the_gray_index(spark, monkeypatch, texts):
+    # Without the searches nothing is linked: no plainer path stands beside them.
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    none_found = lambda meeting, similarity: meeting.select("node", F.col("node").alias("parent")).limit(0)
+    monkeypatch.setattr(near_copies, "neighbour_edges", none_found)
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()} == brute(texts)
+    monkeypatch.setattr(near_copies, "open_edges", none_found)
+    assert len(brute(texts)) < corpus_pipeline.near_duplicates(spark, frame, "").count() == len({frozenset(shingles(t)) for t in texts.values()})
