@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from perfmart.operators import quality
-from perfmart.operators.carry import merge_clustered, write_tasks
+from perfmart.operators.carry import merge_clustered, repeated_hashes, write_tasks
 from perfmart.operators.records import decode_enums
 from perfmart.plans import jobs
 from perfmart.plans.columns import ENUM_FIELDS
@@ -307,6 +307,29 @@ def test_files_by_date(spark, store):
     assert merged.count() == 4000 and merged.rdd.getNumPartitions() == 7 + 7 + 1  # one for dates not counted
 
 
+def test_rows_dealt_while_narrow_are_written_without_a_shuffle(spark, tmp_path):
+    # Each bucket is in one task, so the folders get one file each, as after a shuffle of the wide rows.
+    narrow = spark.range(200).select((F.col("id") % 20).cast("string").alias("customer_id"))
+    dealt = tables.cluster_for_write(narrow.withColumn("b", tables.customer_bucket(F.col("customer_id"))), "b").drop("b")
+    wide = dealt.selectExpr("customer_id", "concat('x', customer_id) as text", "'0-0' as chunk")
+    for name, df, cluster in (("dealt", wide, False), ("clustered", wide, True)):
+        tables.write_run(df, str(tmp_path / name), RUN, "customer_id", cluster=cluster)
+    found = {n: {str(f.parent.relative_to(tmp_path / n)) for f in (tmp_path / n).rglob("*.parquet")} for n in ("dealt", "clustered")}
+    assert found["dealt"] == found["clustered"]
+    assert len(files_of(tmp_path / "dealt")) == len(found["dealt"])
+    assert rows(spark.read.parquet(str(tmp_path / "dealt"))) == rows(spark.read.parquet(str(tmp_path / "clustered")))
+
+
+def test_rows_known_to_differ_are_dealt_without_comparing_them(spark):
+    a = spark.createDataFrame([(1, 0.0, "2020-01-01"), (2, -0.0, "2020-01-02")], "id long, x double, data_date string")
+    by_date, empty = {"2020-01-01": 1, "2020-01-02": 1}, a.limit(0)
+    assert repeated_hashes(a, ["id"]).isEmpty()
+    assert repeated_hashes(a.union(a.limit(1)), ["id"]).count() == 1
+    known = merge_clustered(a, empty, "data_date", by_date, distinct=True)
+    assert "Aggregate" not in known._jdf.queryExecution().optimizedPlan().toString()
+    assert [str(r) for r in rows(known)] == [str(r) for r in rows(merge_clustered(a, empty, "data_date", by_date))]
+
+
 def test_the_tasks_of_a_write():
     places, tasks = write_tasks({None: 0, "a": 25, "b": 9, "c": 3, "d": 2, "e": 10}, 10, 2)
     assert places == {None: (0, 1), "a": (1, 3), "e": (4, 1), "b": (5, 1), "c": (6, 1), "d": (6, 1)} and tasks == 7
