@@ -351,3 +351,29 @@ def test_distinct_by_telling_columns(spark):
     got = merge_distinct_by(alone, alone.where("k < 0"), ["k"])
     assert sorted(map(str, got.collect())) == sorted(map(str, alone.distinct().collect()))
     assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()  # no whole row is shuffled
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_that_are_not_carried_are_not_typed(spark):
+    # The test of the accounts lies below the projection that makes them numbers.
+    ids = [-40000, -1, 0, 1, 7, 8, 32767, 32768, 32769, 65536, 70000]
+    text = spark.createDataFrame([(str(i), "2020-01-15") for i in ids], "account string, data_date string")
+    mart = text.repartition(2).selectExpr("try_cast(account as bigint) as id", "concat('x', account) as name", "data_date")
+    fresh = spark.createDataFrame([(i,) for i in ids[::2]], "id long")
+    profile = profile_keys(fresh, "id", store=True)
+    got = carry_forward(fresh, mart, "id", "2020-01-01", RUN, profile)
+    assert rows(got, "id") == rows(spark.createDataFrame([(i,) for i in ids[1::2]], "id long"))
+    text = plan_of(got)
+    assert text.index("concat(x") < text.index("scalar-subquery") and "scalar-subquery" in text.split("Repartition")[1]
+
+
+def test_only_rows_alike_are_typed_twice(spark):
+    text = spark.createDataFrame([(str(i % 8), str(i)) for i in range(12)], "k string, v string").repartition(2)
+    typed = text.selectExpr("try_cast(k as bigint) as k", "concat('x', v) as v", "0.0 as zero")
+    empty = typed.where("k < 0")
+    got = merge_distinct_by(typed.union(typed.where("k = 5")), empty, ["k"])
+    assert rows(got) == rows(typed.distinct()) and got.count() == 12
+    assert "LeftSemi" not in plan_of(got)
