@@ -101,3 +101,16 @@ def test_counts_of_a_fetch_and_a_load_take_no_scan_of_their_own(spark, stored, t
     raw, _ = stored
     text = plan(project(raw, SPEC, RUN, lost=Observation()))
     assert text.count("FileScan") == 1 and text.count("CollectMetrics") == 1
+
+
+def test_slices_of_a_consolidation_share_the_tasks(spark):
+    from checks.queries import QUERIES
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        text = plan(QUERIES["consolidate_criteria_conv"](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    dealt = [int(n) for n in re.findall(r"Exchange hashpartitioning\(l_orderkey#\d+L?, (\d+)\)", text)]
+    assert dealt == [10] * 9
