@@ -27,7 +27,7 @@ def odd_lines(spark):
 
 
 @pytest.mark.parametrize("most", [20_000, 0])
-@pytest.mark.parametrize("name", ["ads", "ad_conv"])
+@pytest.mark.parametrize("name", ["ads", "campaign", "ad_conv"])
 def test_shared_texts_are_those_that_each_line_would_make(odd_lines, monkeypatch, name, most):
     monkeypatch.setattr(views, "_MAX_PAIRS", most)
     spec = BACKFILLS[name]
@@ -37,7 +37,7 @@ def test_shared_texts_are_those_that_each_line_would_make(odd_lines, monkeypatch
     assert rows(found) == rows(plain)
 
 
-@pytest.mark.parametrize("name", ["backfill_ads"])
+@pytest.mark.parametrize("name", ["backfill_ads", "backfill_campaign"])
 def test_lines_look_up_the_texts_they_share(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "CASE WHEN (l_linenumber" not in text
