@@ -37,7 +37,7 @@ def test_shared_texts_are_those_that_each_line_would_make(odd_lines, monkeypatch
     assert rows(found) == rows(plain)
 
 
-@pytest.mark.parametrize("name", ["backfill_ads", "backfill_campaign"])
+@pytest.mark.parametrize("name", ["backfill_ads", "backfill_ads_ad_hoc", "backfill_campaign"])
 def test_lines_look_up_the_texts_they_share(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "CASE WHEN (l_linenumber" not in text
