@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from perfmart.operators import accounts, joins, quality, windows
+from perfmart.operators import accounts, joins, lookup, quality, windows
 from perfmart.operators.carry import KeyProfile, carry_forward, merge_clustered, merge_distinct, merge_distinct_by, profile_keys
 from perfmart.operators.consolidate import consolidate
 from perfmart.operators.lookup import dims_fit, lookup_names
@@ -236,6 +236,46 @@ def test_a_large_dimension_meets_distinct_ids_only(spark, max_rows):
         assert text.count("Exchange hashpartitioning") <= 2 and not wide
 
 
+@pytest.mark.parametrize("kept", [True, False])
+@pytest.mark.parametrize("id_type", ["bigint", "string"])
+def test_large_dimensions_share_one_shuffle_of_the_wide_rows(spark, id_type, kept, monkeypatch):
+    if not kept:  # as without a checkpoint folder on a cluster
+        monkeypatch.setattr(lookup, "checkpointed", lambda df: df)
+    fact = spark.range(300).selectExpr(
+        "cast(id % 50 - 10 as string) as city", "cast(id % 7 * 1000 as string) as metro", "id", "repeat('x', 100) as wide"
+    )
+    odd = [("None", "0", -1, ""), (None, "0", -2, ""), ("5", "", -3, ""), ("5", None, -4, ""), ("-64", "0", -5, ""), ("-64", "0", -5, "")]
+    fact = fact.union(spark.createDataFrame(odd, "city string, metro string, id bigint, wide string")).repartition(3)
+    ids = [*range(-8, 30), 7, -64, 10**12, None]
+    dims = {
+        "city": spark.createDataFrame([(i, f"c{n}") for n, i in enumerate(ids)], "id bigint, cannonicalname string"),
+        "metro": spark.createDataFrame([(i * 1000, f"m{i}") for i in range(6)] + [(1, "m")], "id bigint, cannonicalname string"),
+    }
+    dims = {level: dim.withColumn("id", F.col("id").cast(id_type)) for level, dim in dims.items()}
+    keys = {level: F.col(level) for level in dims}
+    named = lookup_names(fact, dims, keys, False, 0)
+    want = rows(lookup_names(fact, dims, keys, True), "id", "city_name", "metro_name", "wide")
+    assert rows(named, "id", "city_name", "metro_name", "wide") == want and len(want) > 180
+    narrow = lookup_names(fact, dims, keys, False, 0, [F.col("id"), F.length("wide").alias("n")])
+    assert rows(narrow, "id", "city_name", "metro_name") == [r[:3] for r in want] and narrow.columns[:2] == ["id", "n"]
+    # Beside the repartition of this test.
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = [line for line in plan(named) if "hashpartitioning" in line]
+    if kept:
+        assert len(moved) == 2 and "SortMergeJoin" not in "".join(plan(named))  # the rows, and the names of the tuples
+    assert "ShuffledHashJoin" in "".join(plan(named))
+    # What a report keeps is worked out before that shuffle.
+    text = "\n".join(plan(narrow))
+    assert text.index("hashpartitioning") < text.index("length(wide")
+
+
+def test_locations_of_too_many_words_are_resolved_too(spark):
+    fact = spark.range(100).selectExpr("cast(id * 1000 as string) as city", "id")
+    dim = spark.range(90).selectExpr("id * 1000 as id", "concat('c', id) as cannonicalname")
+    for most in (0, 89, 90):
+        assert rows(lookup_names(fact, {"city": dim}, {"city": F.col("city")}, False, most), "id") == [(i,) for i in sorted(range(90), key=str)]
+
+
 def test_merge_is_by_position_and_removes_all_copies(spark):
     nan = float("nan")
     a = spark.createDataFrame([(1, nan), (1, nan), (2, 1.0)], "a int, b double")

@@ -42,3 +42,19 @@ def test_lines_look_up_the_texts_they_share(spark, name):
     text = plan(QUERIES[name](spark, FOLDER))
     assert "CASE WHEN (l_linenumber" not in text
     assert text.count("BroadcastHashJoin [coalesce(l_linenumber") == 1
+
+
+def test_lines_that_are_read_in_many_tasks_are_not_dealt(spark, tmp_path):
+    spark.range(5000).selectExpr("id as l_orderkey", "id % 7 as l_linenumber").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    t = views.Tables(spark, str(tmp_path))
+    assert "Exchange" in plan(views.lines_as_read(t))
+    sizes = {"spark.sql.files.maxPartitionBytes": "1000", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in sizes}
+    try:
+        for name, size in sizes.items():
+            spark.conf.set(name, size)
+        read = views.lines_as_read(t)
+        assert "Exchange" not in plan(read) and rows(read) == rows(views.lines(t))
+    finally:
+        for name, size in before.items():
+            spark.conf.set(name, size)
